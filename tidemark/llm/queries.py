@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat_format, url_filter
+from tidemark.llm import bpe_codec, chat_format, language_id, license_scan, url_filter
 
 QUERIES = {
+    "op2_license_scan": license_scan.op2_license_scan,
     "op4_url_filter": url_filter.op4_url_filter,
+    "op5_bpe_codec": bpe_codec.op5_bpe_codec,
+    "op7_language_id": language_id.op7_language_id,
     "op10_chat_format": chat_format.op10_chat_format,
 }
 
