@@ -1,3 +1,43 @@
+"""The corpus pipeline: documents to tokens in five stages, each written as Parquet and read again by the next."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.llm.bpe_codec import encode_documents
+from tidemark.llm.decontaminate import stage_decontaminate
+from tidemark.llm.language_id import stage_language_id
+from tidemark.llm.line_dedup import stage_line_dedup
+from tidemark.llm.ngram_join import stage_ngram_join
+from tidemark.session import ensure_checkpoint_dir
+
+
+def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every remaining document's tokens."""
+    return encode_documents(docs, with_ids=True)
+
+
+#: All but the last return the columns of documents.
+STAGES = [
+    ("language_id", stage_language_id),
+    ("line_dedup", stage_line_dedup),
+    ("ngram_join", stage_ngram_join),
+    ("decontamination", stage_decontaminate),
+    ("bpe", stage_bpe),
+]
+
+#: Trained models, SimHash, MinHash and alignments are not SQL; tests hold every stage against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, one after the other; what a stage keeps is written to the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs
