@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import ann_search, bpe_codec, chat_format, decontaminate, language_id, license_scan, line_dedup, ngram_join, url_filter
+from tidemark.llm import ann_search, bpe_codec, chat_format, decontaminate, language_id, license_scan, line_dedup, ngram_join, pii, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_license_scan": license_scan.op2_license_scan,
+    "op3_pii": pii.op3_pii,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_bpe_codec": bpe_codec.op5_bpe_codec,
     "op6_ngram_join": ngram_join.op6_ngram_join,
