@@ -1 +1 @@
-
+"""Column-level vocabulary."""

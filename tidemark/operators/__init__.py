@@ -1 +1 @@
-
+"""Relational building blocks."""

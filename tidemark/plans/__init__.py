@@ -1 +1 @@
-
+"""Named analyses; importing the package registers them."""
