@@ -1,3 +1,3 @@
 """All modules that register queries."""
 
-from tidemark.plans import analyses, datasets, platform2  # noqa: F401
+from tidemark.plans import analyses, datasets, platform2, relational  # noqa: F401
