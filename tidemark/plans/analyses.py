@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import semantics as S
+from tidemark.functions.stats import normal_two_sided
 from tidemark.functions.taxonomy import group_sql, hierarchy
 from tidemark.operators import moments as M
 from tidemark.operators.positions import maker_legs, positions, resolved_trades
@@ -163,10 +165,6 @@ def _returns_by_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("a04_pvalues")
 def a04_pvalues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """z statistics and two-sided p by price; at most 99 rows reach the Arrow function."""
-    import pandas as pd
-
-    from tidemark.functions.stats import normal_two_sided
-
     @F.pandas_udf("double")
     def p_value(z: pd.Series) -> pd.Series:
         return z.map(lambda v: None if pd.isna(v) else normal_two_sided(v))
