@@ -22,6 +22,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -59,9 +60,12 @@ class TrieEncoder:
         self.ids: dict[str, int] = model["vocab"]
         self.ranks = {tuple(m): i for i, m in enumerate(model["merges"])}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.longest = max(map(len, self.ids))
         self.stands: dict[tuple[str, str], bool] = {}
         self.alone: dict[str, bool | None] = dict.fromkeys(self.ids)
+        #: Everything that some entry starts with; where no suffix of a prefix is among them, no entry can end.
+        self.starts = {t[:i] for t in (t.removesuffix(END) for t in self.ids) for i in range(1, len(t) + 1)}
+        #: Last token of a prefix, and where its longest suffix that starts an entry begins.
+        self.states: dict[str, tuple[str, int]] = {}
 
     def symbols(self, token: str) -> list[str]:
         return [*token[: -len(END) - 1], token[-len(END) - 1 :]] if token.endswith(END) and len(token) > len(END) else list(token)
@@ -88,19 +92,29 @@ class TrieEncoder:
         known = self.stands[left, right] = self.merge(self.symbols(left) + self.symbols(right)) == [left, right]
         return known
 
-    def last_token(self, prefix: str, states: list[str], end: str) -> str:
-        """The last token of ``prefix + end``; ``states[i]`` is that of the first i symbols."""
-        n, alone, stands = len(prefix), self.alone, self.stands
-        for start in range(n - self.longest if n > self.longest else 0, n):
-            token = prefix[start:] + end
+    def last_token(self, spelt: str, tokens: list[str], begin: int, end: str) -> str:
+        """The last token of ``spelt + end``, which begins at ``begin`` or later; ``tokens[i]`` is that of the first i symbols."""
+        alone, stands = self.alone, self.stands
+        for start in range(begin, len(spelt)):
+            token = spelt[start:] + end if end else spelt[start:]
             known = alone.get(token, False)
             if known or (known is None and self.is_token(token)):
                 if not start:
                     return token
-                known = stands.get((states[start], token))
-                if known or (known is None and self.can_follow(states[start], token)):
+                known = stands.get((tokens[start], token))
+                if known or (known is None and self.can_follow(tokens[start], token)):
                     return token
-        raise ValueError(f"no token ends {prefix!r}")
+        raise ValueError(f"no token ends {spelt!r}")
+
+    def state(self, prefix: str, tokens: list[str], begin: int) -> tuple[str, int]:
+        """The state of a prefix whose own prefix has its longest such suffix at ``begin``."""
+        starts = self.starts
+        while prefix[begin:] not in starts:
+            begin += 1
+        if len(self.states) > CACHE_WORDS:
+            self.states.clear()
+        found = self.states[prefix] = self.last_token(prefix, tokens, begin, ""), begin
+        return found
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[str]]:
         """Tokens of each distinct word (in byte symbols)."""
@@ -114,27 +128,30 @@ class TrieEncoder:
                 node = below
             node[word[-1] + END] = word
         found: dict[str, list[str]] = {}
-        prefix, states, last_token = "", [""], self.last_token
+        prefix, tokens, begins = "", [""], [0]
         walk = [iter(root.items())]
         while walk:
             for symbol, below in walk[-1]:
                 if below.__class__ is str:
-                    token = last_token(below, states, END)
-                    tokens, at = [token], len(below) - len(token) + len(END)
+                    token = self.last_token(below, tokens, begins[-1], END)
+                    own, at = [token], len(below) - len(token) + len(END)
                     while at:
-                        tokens.append(states[at])
-                        at -= len(states[at])
-                    tokens.reverse()
-                    found[below] = tokens
+                        own.append(tokens[at])
+                        at -= len(tokens[at])
+                    own.reverse()
+                    found[below] = own
                 else:
                     prefix += symbol
-                    states.append(last_token(prefix, states, ""))
+                    token, begin = self.states.get(prefix) or self.state(prefix, tokens, begins[-1])
+                    tokens.append(token)
+                    begins.append(begin)
                     walk.append(iter(below.items()))
                     break
             else:
                 walk.pop()
                 prefix = prefix[:-1]
-                states.pop()
+                tokens.pop()
+                begins.pop()
         return found
 
 
@@ -207,11 +224,17 @@ def chunks(texts: list[str | None]) -> Iterator[list[str | None]]:
         yield run
 
 
+@lru_cache(2)
+def shared_codec(path: str) -> Codec:
+    """One codec for each Python worker: what it has learnt serves the worker's later tasks too."""
+    return Codec(path)
+
+
 def codec_batches(path: str, with_ids: bool = False):
     """A worker for map_batches over (doc_id, text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(path)
+        codec = shared_codec(path)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             out: dict[str, list] = {name: [] for name in TYPES}
