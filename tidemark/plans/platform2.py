@@ -253,7 +253,7 @@ def decode_words(data: Column) -> Column:
         high = [F.conv(F.substring(hexes, F.lit(at), F.lit(12)), 16, 10).cast("decimal(38,0)") for at in (41, 53)]
         mid = F.conv(F.substring(hexes, F.lit(33), F.lit(8)), 16, 10).cast("decimal(38,0)")
         small = F.substring(hexes, F.lit(1), F.lit(32)) == "0" * 32
-        value = F.try_add(F.try_multiply(mid, F.lit(2**96).cast("decimal(38,0)")).cast("decimal(38,0)"), (high[0] * F.lit(2**48).cast("decimal(38,0)")).cast("decimal(38,0)") + high[1])
+        value = F.try_add(F.try_multiply(mid, F.lit(str(2**96)).cast("decimal(38,0)")).cast("decimal(38,0)"), (high[0] * F.lit(str(2**48)).cast("decimal(38,0)")).cast("decimal(38,0)") + high[1])
         return F.when(small, value.cast("decimal(38,0)"))
 
     return F.transform(F.sequence(F.lit(0), n - 1), word)
