@@ -6,7 +6,7 @@ import tidemark.plans.catalogue  # noqa: F401
 from tidemark import registry
 
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
-from helpers import same_rows  # noqa: E402
+from tests.helpers import same_rows  # noqa: E402
 
 ORACLES = registry.oracle_sql()
 

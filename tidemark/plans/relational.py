@@ -306,3 +306,75 @@ def dq15_forward_audit(spark, sf_dir):
     trades = _t(spark, sf_dir)
     past = F.col("created_time") < F.lit(datetime(1995, 6, 1)).cast("timestamp_ntz")
     return Q.audit_forward(trades.filter(~past), trades.filter(past))
+
+
+@query("src9_json_lookup", oracle_with("pm_collateral") + " SELECT lower(fpmm_address) AS fpmm_address FROM pm_collateral WHERE collateral_symbol = 'USDC'")
+def src9_json_lookup(spark, sf_dir):
+    """Addresses of USDC pools, from JSON."""
+    from tidemark.sources.derived import collateral_json
+    from tidemark.sources.tables import usdc_addresses
+
+    return usdc_addresses(collateral_json(spark, sf_dir))
+
+
+@query("src10_row_counts", "SELECT 'orders' AS source, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events")
+def src10_row_counts(spark, sf_dir):
+    """Rows of tables; no column is read."""
+    parts = [spark.read.parquet(f"{sf_dir}/{t}.parquet").agg(F.lit(t).alias("source"), F.count("*").alias("n")) for t in ("orders", "lineitem", "events")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("src14_price_spine", "SELECT range AS price FROM range(1, 100)")
+def src14_price_spine(spark, sf_dir):
+    """Prices from 1 to 99."""
+    return spark.range(1, 100).select(F.col("id").alias("price"))
+
+
+@query("src5_union_of_sources", WITH + " SELECT trade_id, ticker, count, CASE WHEN l_suppkey % 2 = 0 THEN 'historical' ELSE 'forward' END AS layer FROM trades")
+def src5_union_of_sources(spark, sf_dir):
+    """Two layers with different columns as one table."""
+    trades = _t(spark, sf_dir)
+    past = trades.filter("l_suppkey % 2 = 0").select("trade_id", "ticker", "count")
+    new = trades.filter("l_suppkey % 2 = 1").select("ticker", "trade_id", "count", F.lit("forward").alias("layer"))
+    return past.unionByName(new, allowMissingColumns=True).select("trade_id", "ticker", "count", F.coalesce("layer", F.lit("historical")).alias("layer"))
+
+
+@query("agg21_two_level", WITH + " SELECT ticker, CAST(sum(n) AS BIGINT) AS n FROM (SELECT ticker, count(*) AS n FROM trades WHERE taker_side = 'yes' GROUP BY 1 UNION ALL SELECT ticker, count(*) FROM trades WHERE taker_side = 'no' GROUP BY 1) GROUP BY 1")
+def agg21_two_level(spark, sf_dir):
+    """Counts by source, then summed: one aggregation over the union."""
+    trades = _t(spark, sf_dir)
+    return trades.filter("taker_side = 'yes'").select("ticker").unionAll(trades.filter("taker_side = 'no'").select("ticker")).groupBy("ticker").agg(F.count("*").alias("n"))
+
+
+@query("agg27_effective_volume", WITH + " SELECT coalesce(sum(coalesce(CAST(nullif(count, 0) AS DOUBLE), TRY_CAST(count_fp AS DOUBLE))), 0) AS contracts FROM trades")
+def agg27_effective_volume(spark, sf_dir):
+    """Contracts over all sources, with counts given as text."""
+    return _t(spark, sf_dir).agg(F.coalesce(F.sum(S.effective_count()), F.lit(0.0)).alias("contracts"))
+
+
+@query("prj2_star_except", WITH + " SELECT * EXCLUDE (l_partkey, l_suppkey, created_time) FROM trades")
+def prj2_star_except(spark, sf_dir):
+    """All columns but some."""
+    return _t(spark, sf_dir).drop("l_partkey", "l_suppkey", "created_time")
+
+
+@query("set6_day_union", WITH + " SELECT DISTINCT d FROM (SELECT CAST(created_time AS DATE) AS d FROM trades UNION SELECT CAST(ts AS DATE) FROM events)")
+def set6_day_union(spark, sf_dir):
+    """Days on which either platform was active."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.to_date("ts").alias("d"))
+    return _t(spark, sf_dir).select(F.to_date("created_time").alias("d")).union(events).distinct()
+
+
+@query("flt6_semi_join", WITH + " SELECT trade_id, ticker FROM trades WHERE ticker IN (SELECT ticker FROM markets WHERE volume >= 200000)")
+def flt6_semi_join(spark, sf_dir):
+    """Trades of large markets."""
+    large = _m(spark, sf_dir).filter("volume >= 200000").select("ticker")
+    return _t(spark, sf_dir).join(large, "ticker", "left_semi").select("trade_id", "ticker")
+
+
+@query("stm_event_windows", "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL")
+def stm_event_windows(spark, sf_dir):
+    """Hourly tumbling windows (an extension beside ingestion); the same expression runs on a stream."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = events.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"))
+    return rows.select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "event_type", "n")
