@@ -86,7 +86,7 @@ def test_ngram_join_equals_all_pairs(spark, block, monkeypatch):
 def test_bands_reach_the_target_recall():
     bands, rows = ngram_join.choose_bands()
     assert bands * rows <= ngram_join.HASHES and 1 - (1 - 0.8**rows) ** bands >= ngram_join.TARGET_RECALL
-    assert ngram_join.choose_bands(0.5, 0.9, 100)[1] == 4
+    assert ngram_join.choose_bands(0.5, 0.9, 100)[1] == 3
 
 
 def test_one_document_of_each_group_stays(spark):
