@@ -135,7 +135,7 @@ def by_role(rows: DataFrame, *keys: str) -> DataFrame:
 
 _A04_SIDE = """CAST(sum(contracts * price) FILTER (WHERE role = '{r}') AS DOUBLE) / 100.0 AS {r}_volume,
  round(avg(CAST(won AS DOUBLE)) FILTER (WHERE role = '{r}'), 6) AS {r}_win_rate, price / 100.0 AS {r}_expected,
- round(avg(won - price / 100.0) FILTER (WHERE role = '{r}'), 6) AS {r}_excess, round(var_pop(won - price / 100.0) FILTER (WHERE role = '{r}'), 6) AS {r}_var,
+ round((CAST(sum(won * 100 - price) FILTER (WHERE role = '{r}') AS DOUBLE) / count(*) FILTER (WHERE role = '{r}') / 100.0), 6) AS {r}_excess, round(var_pop(won - price / 100.0) FILTER (WHERE role = '{r}'), 6) AS {r}_var,
  count(*) FILTER (WHERE role = '{r}') AS {r}_n, round(sum(contracts * (won - price / 100.0)) FILTER (WHERE role = '{r}'), 2) AS {r}_pnl"""
 
 
@@ -208,8 +208,8 @@ def a05_maker_win_rate_by_direction(spark: SparkSession, sf_dir: str) -> DataFra
 @query(
     "a06_maker_returns_by_direction",
     _LEGS + " SELECT * EXCLUDE (yes_x, no_x), round(no_x - yes_x, 6) AS diff FROM (SELECT price, " + ", ".join(
-        f"round(avg(CAST(won AS DOUBLE)) FILTER (WHERE side = '{s}'), 6) AS {p}_win_rate, avg(won - price / 100.0) FILTER (WHERE side = '{s}') AS {p}_x,"
-        f" round(avg(won - price / 100.0) FILTER (WHERE side = '{s}'), 6) AS {p}_excess, nullif(count(*) FILTER (WHERE side = '{s}'), 0) AS {p}_n,"
+        f"round(avg(CAST(won AS DOUBLE)) FILTER (WHERE side = '{s}'), 6) AS {p}_win_rate, (CAST(sum(won * 100 - price) FILTER (WHERE side = '{s}') AS DOUBLE) / count(*) FILTER (WHERE side = '{s}') / 100.0) AS {p}_x,"
+        f" round((CAST(sum(won * 100 - price) FILTER (WHERE side = '{s}') AS DOUBLE) / count(*) FILTER (WHERE side = '{s}') / 100.0), 6) AS {p}_excess, nullif(count(*) FILTER (WHERE side = '{s}'), 0) AS {p}_n,"
         f" CAST(sum(contracts) FILTER (WHERE side = '{s}') AS BIGINT) AS {p}_contracts, CAST(sum(contracts * price) FILTER (WHERE side = '{s}') AS DOUBLE) / 100.0 AS {p}_volume"
         for s, p in (("YES", "yes"), ("NO", "no"))
     ) + " FROM legs WHERE price BETWEEN 1 AND 99 GROUP BY price)",
@@ -301,8 +301,8 @@ def _takers(joined: DataFrame, *keep: Column | str) -> DataFrame:
     "a11_returns_by_hour",
     POSITIONS
     + """ SELECT *, round(x - 1.96 * s, 6) AS ci_lower, round(x + 1.96 * s, 6) AS ci_upper FROM (
-SELECT CAST(extract(hour FROM created_time) AS BIGINT) AS hour_et, round(avg(CAST(won AS DOUBLE)), 6) AS win_rate, round(avg(price / 100.0), 6) AS avg_implied_prob,
- avg(won - price / 100.0) AS x, sqrt(var_samp(won - price / 100.0) / count(*)) AS s, round(avg(won - price / 100.0), 6) AS excess_return,
+SELECT CAST(extract(hour FROM created_time) AS BIGINT) AS hour_et, round(avg(CAST(won AS DOUBLE)), 6) AS win_rate, round((CAST(sum(price) AS DOUBLE) / count(*) / 100.0), 6) AS avg_implied_prob,
+ (CAST(sum(won * 100 - price) AS DOUBLE) / count(*) / 100.0) AS x, sqrt(var_samp(won - price / 100.0) / count(*)) AS s, round((CAST(sum(won * 100 - price) AS DOUBLE) / count(*) / 100.0), 6) AS excess_return,
  round(var_samp(won - price / 100.0), 6) AS var_excess, CAST(sum(contracts) AS BIGINT) AS total_contracts, CAST(sum(contracts * price) AS DOUBLE) / 100.0 AS total_volume_usd,
  count(*) AS n_trades, round(sqrt(var_samp(won - price / 100.0) / count(*)), 6) AS se FROM pos WHERE role = 'taker' GROUP BY 1)""".replace("SELECT *,", "SELECT * EXCLUDE (x, s),"),
 )
@@ -346,7 +346,7 @@ MIN_QUARTER_TRADES = 300
 @query(
     "a13_maker_taker_gap_over_time",
     POSITIONS
-    + f""", q AS (SELECT role, date_trunc('quarter', created_time)::TIMESTAMP AS quarter, avg(won - price / 100.0) AS x, count(*) AS n, CAST(sum(contracts * price) AS DOUBLE) / 100.0 AS v
+    + f""", q AS (SELECT role, date_trunc('quarter', created_time)::TIMESTAMP AS quarter, (CAST(sum(won * 100 - price) AS DOUBLE) / count(*) / 100.0) AS x, count(*) AS n, CAST(sum(contracts * price) AS DOUBLE) / 100.0 AS v
  FROM pos GROUP BY 1, 2 HAVING count(*) >= {MIN_QUARTER_TRADES})
 SELECT t.quarter, round(t.x * 100, 6) AS taker_return, round(m.x * 100, 6) AS maker_return, round((m.x - t.x) * 100, 6) AS gap_pp, t.n AS n_trades, t.v AS volume_usd
 FROM q t JOIN q m ON t.quarter = m.quarter WHERE t.role = 'taker' AND m.role = 'maker'""",
@@ -362,7 +362,7 @@ def a13_maker_taker_gap_over_time(spark: SparkSession, sf_dir: str, min_trades:
 @query(
     "a14_returns_by_category",
     POSITIONS
-    + f""", c AS (SELECT category, role, avg(won - price / 100.0) AS x, count(*) AS n, sum(contracts) AS k, sum(contracts * price) / 100.0 AS v, sum(contracts * (won - price / 100.0)) AS p FROM pos GROUP BY 1, 2),
+    + f""", c AS (SELECT category, role, (CAST(sum(won * 100 - price) AS DOUBLE) / count(*) / 100.0) AS x, count(*) AS n, sum(contracts) AS k, sum(contracts * price) / 100.0 AS v, sum(contracts * (won - price / 100.0)) AS p FROM pos GROUP BY 1, 2),
 b AS (SELECT {group_sql("t.category")} AS g, t.x AS tx, m.x AS mx, t.n AS tn, m.n AS mn, t.k AS tk, m.k AS mk, t.v AS tv, m.v AS mv, t.p AS tp, m.p AS mp FROM c t JOIN c m ON t.category = m.category AND t.role = 'taker' AND m.role = 'maker')
 SELECT g AS "group", round(sum(tx * tk) / nullif(sum(tk), 0) * 100, 6) AS taker_excess, round(sum(mx * mk) / nullif(sum(mk), 0) * 100, 6) AS maker_excess,
  round((sum(mx * mk) / nullif(sum(mk), 0) - sum(tx * tk) / nullif(sum(tk), 0)) * 100, 6) AS gap, CAST(sum(tn) AS BIGINT) AS taker_n, CAST(sum(mn) AS BIGINT) AS maker_n,
@@ -507,9 +507,9 @@ MIN_BIN_TRADES = 10
 @query(
     "a19_win_rate_by_trade_size",
     POSITIONS
-    + f""" SELECT round(power(10, CAST(b AS DOUBLE) / 4.0), 6) AS trade_size_bin, round(avg(CAST(won AS DOUBLE)), 6) AS win_rate, round(avg(price / 100.0), 6) AS expected_win_rate, round(avg(won - price / 100.0), 6) AS excess_win_rate,
+    + f""" SELECT round(power(10, CAST(b AS DOUBLE) / 4.0), 6) AS trade_size_bin, round(avg(CAST(won AS DOUBLE)), 6) AS win_rate, round((CAST(sum(price) AS DOUBLE) / count(*) / 100.0), 6) AS expected_win_rate, round((CAST(sum(won * 100 - price) AS DOUBLE) / count(*) / 100.0), 6) AS excess_win_rate,
  round(var_samp(won - price / 100.0), 6) AS var_excess, count(*) AS n_trades, CAST(sum(contracts * price) AS DOUBLE) / 100.0 AS total_volume, round(sqrt(var_samp(won - price / 100.0) / count(*)), 6) AS se,
- round(avg(won - price / 100.0) - 1.96 * sqrt(var_samp(won - price / 100.0) / count(*)), 6) AS ci_lower, round(avg(won - price / 100.0) + 1.96 * sqrt(var_samp(won - price / 100.0) / count(*)), 6) AS ci_upper
+ round((CAST(sum(won * 100 - price) AS DOUBLE) / count(*) / 100.0) - 1.96 * sqrt(var_samp(won - price / 100.0) / count(*)), 6) AS ci_lower, round((CAST(sum(won * 100 - price) AS DOUBLE) / count(*) / 100.0) + 1.96 * sqrt(var_samp(won - price / 100.0) / count(*)), 6) AS ci_upper
 FROM (SELECT *, CAST(floor(log10(greatest(CAST(contracts * price AS DOUBLE) / 100.0, 0.01)) * 4) AS BIGINT) AS b FROM pos WHERE role = 'taker') GROUP BY b HAVING count(*) >= {MIN_BIN_TRADES}""",
 )
 def a19_win_rate_by_trade_size(spark: SparkSession, sf_dir: str, min_trades: int = MIN_BIN_TRADES) -> DataFrame:
