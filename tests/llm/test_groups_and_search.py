@@ -133,8 +133,11 @@ def test_blocks_cover_all_close_pairs():
 def test_edges_of_buckets():
     keys = np.array([1, 1, 1, 1, 2, 2, 3])
     sims = np.array([0, 7, 0b111000 | 7, 1 << 40 | 1 << 41 | 1 << 42 | 1 << 43, 5, 5 ^ 0xFF00, 9])
-    a, b = line_dedup.near_edges(keys, sims)
-    assert {tuple(sorted(p)) for p in zip(a.tolist(), b.tolist())} == {(0, 7), (0, 63)}
+    seconds = np.zeros(7, np.int64)
+    a, b = line_dedup.near_edges(keys, sims, seconds)
+    assert {tuple(sorted(p)) for p in zip(sims[a].tolist(), sims[b].tolist())} == {(0, 7), (0, 63)}
+    seconds[1] = 31
+    assert line_dedup.near_edges(keys, sims, seconds)[0].tolist() == []
 
 
 def brute_lines(rows):
@@ -147,9 +150,10 @@ def brute_lines(rows):
                 places.setdefault(key, []).append((i, n))
                 if key not in sims:
                     _, _, counts, hashed = hasher.lines(key)
-                    sims[key] = int(line_dedup.simhashes(hashed, counts)[0]) & (1 << 64) - 1
+                    other = line_dedup._mix(hashed, line_dedup._SEEDS[2])
+                    sims[key] = [int(line_dedup.simhashes(h, counts)[0]) & (1 << 64) - 1 for h in (hashed, other)]
     keys = list(places)
-    links = [(a, b) for a in range(len(keys)) for b in range(a) if (sims[keys[a]] ^ sims[keys[b]]).bit_count() <= line_dedup.DISTANCE and line_dedup.similar(keys[a], keys[b])]
+    links = [(a, b) for a in range(len(keys)) for b in range(a) if all((sims[keys[a]][i] ^ sims[keys[b]][i]).bit_count() <= d for i, d in enumerate((line_dedup.DISTANCE, line_dedup.SECOND_DISTANCE))) and line_dedup.similar(keys[a], keys[b])]
     root = roots(links, range(len(keys)))
     groups = {}
     for k, key in enumerate(keys):

@@ -3,10 +3,10 @@
 Lines are normalised to their lower-cased runs of word characters. Lines of MIN_WORDS words or more take part,
 shorter ones are never removed. Lines that are equal when normalised are one node. A node's 64-bit SimHash is
 taken over its words. By the pigeonhole principle, SimHashes at a distance of DISTANCE or less agree in at least
-m - DISTANCE of m blocks; nodes are joined on every choice of that many blocks. ``block_plan`` takes m so large
-that chance meetings stay rare at the number of SimHashes at hand. Buckets of two are checked at once, larger
-ones point to their smallest member. Connected SimHashes are clusters; their lines are compared in tiles of bounded
-size: pairs within DISTANCE whose edit similarity (1 - Levenshtein distance / longer length) is SIMILARITY or more
+m - DISTANCE of m blocks; SimHashes are joined on every choice of that many blocks. ``block_plan`` takes m so large
+that chance meetings stay few at the number of SimHashes at hand. Buckets are read in key order, and edges that connect
+the members within DISTANCE of each other (and within SECOND_DISTANCE in a second SimHash) come out, not pairs. Connected SimHashes are clusters; their lines are compared in tiles of bounded
+size: such pairs whose edit similarity (1 - Levenshtein distance / longer length) is SIMILARITY or more
 are linked. Of each connected group of links the occurrence with the smallest (doc_id, text hash, line
 number) stays.
 
@@ -24,7 +24,6 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,11 +33,12 @@ from tidemark.session import durable
 
 MIN_WORDS = 5
 DISTANCE = 3
+#: A second SimHash, of other bits of the same words, keeps unrelated lines apart that meet in the first by chance.
+SECOND_DISTANCE = 4
 SIMILARITY = 0.8
-#: Buckets of more than two that are dealt to all tasks at most; more are joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Entries of a table that is dealt to all tasks at most; more are joined by a shuffle, with the same rows.
+BROADCAST_ROWS = 500_000
 _WORD = re.compile(r"\w+")
-_VOCABULARY = 200_000
 
 
 def normalise(line: str) -> list[str]:
@@ -56,77 +56,137 @@ def block_plan(simhashes: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(blocks, m - DISTANCE)]
 
 
-class _Signs:
-    """A row of +1 and -1 for each word."""
+def _letters() -> np.ndarray:
+    """Which code points belong to words, as the word pattern has it."""
+    return np.fromiter((chr(c).isalnum() or c == 95 for c in range(0x110000)), bool, 0x110000)
 
-    def __init__(self):
-        self.ids: dict[str, int] = {}
-        self.rows = np.empty((0, 64), np.int8)
-
-    def of(self, words: list[str]) -> np.ndarray:
-        if len(self.ids) > _VOCABULARY:
-            self.ids, self.rows = {}, np.empty((0, 64), np.int8)
-        new = [w for w in dict.fromkeys(words) if w not in self.ids]
-        if new:
-            hashed = np.array([xxhash.xxh3_64_intdigest(w) for w in new], np.uint64)
-            bits = np.unpackbits(hashed.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.int8) * 2 - 1
-            for w in new:
-                self.ids[w] = len(self.ids)
-            if len(self.ids) > len(self.rows):
-                grown = np.empty((max(1024, 2 * len(self.ids)), 64), np.int8)
-                grown[: len(self.ids) - len(new)] = self.rows[: len(self.ids) - len(new)]
-                self.rows = grown
-            self.rows[len(self.ids) - len(new) : len(self.ids)] = bits
-        return self.rows[np.fromiter(map(self.ids.__getitem__, words), np.int64, len(words))]
-
-
-def simhashes(lines: list[list[str]], signs: _Signs) -> np.ndarray:
-    """The SimHash of each line (of one word or more), as signed 64-bit integers."""
-    out = np.empty(len(lines), np.int64)
-    at = 0
-    while at < len(lines):
-        n, end = 0, at
-        while end < len(lines) and (n < 20_000 or end == at):
-            n += len(lines[end])
-            end += 1
-        if n > 200_000:  # one long line, counted in pieces
-            total = np.zeros(64, np.int64)
-            for i in range(0, len(lines[at]), 100_000):
-                total += signs.of(lines[at][i : i + 100_000]).sum(axis=0, dtype=np.int64)
-            sums = total[None, :]
-            end = at + 1
-        else:
-            some = lines[at:end]
-            rows = signs.of([w for line in some for w in line])
-            starts = np.cumsum([0, *map(len, some)])
-            running = np.cumsum(rows, axis=0, dtype=np.int32)
-            ends = running[starts[1:] - 1]
-            sums = np.diff(ends, axis=0, prepend=np.zeros((1, 64), np.int32))
-        out[at:end] = np.packbits(sums > 0, axis=1, bitorder="little").view(np.int64)[:, 0]
-        at = end
+
+_IN_WORD = _letters()
+_CHUNK = 1 << 20
+_BASE = 0x9E3779B97F4A7C15
+_SEEDS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base squared and so on, modulo 2 to the 64th."""
+    out = np.empty(n, np.uint64)
+    out[0] = 1
+    done = 1
+    while done < n:
+        step = min(done, n - done)
+        out[done : done + step] = out[:step] * np.uint64(pow(base, done, 1 << 64))
+        done += step
     return out
 
 
-LINE_SCHEMA = "doc_id long, th long, line int, key binary, sim long"
-_LINE_TYPES = {"doc_id": pa.int64(), "th": pa.int64(), "line": pa.int32(), "key": pa.binary(), "sim": pa.int64()}
+def _mix(x: np.ndarray, seed: int) -> np.ndarray:
+    """A bijection that spreads all bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(seed)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(_SEEDS[1])
+    return x ^ (x >> np.uint64(31))
+
+
+class LineHasher:
+    """Keys and SimHashes of all lines of a text, in vector operations over its characters.
+
+    A word's hash is a polynomial of its characters: with Q the inverse of P, (S_end - S_start) * P^end for prefix sums S
+    of c_i Q^i does not depend on where the word stands. A key is 128 bits of two polynomials of mixed word hashes.
+    """
+
+    def __init__(self):
+        self.size = 0
+        self.grow(_CHUNK)
+
+    def grow(self, n: int) -> None:
+        if n > self.size:
+            self.size = n
+            self.up, self.down = _powers(_BASE, n + 1), _powers(pow(_BASE, -1, 1 << 64), n + 1)
+            self.places = [_powers(seed | 1, n + 1) for seed in _SEEDS[:2]]
+
+    def lines(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(line numbers, keys as rows of two, numbers of words, word hashes one line after the other) of the lines of MIN_WORDS words or more."""
+        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.grow(len(points))
+        inside = np.zeros(len(points) + 2, bool)
+        inside[1:-1] = _IN_WORD[points]
+        starts, ends = np.flatnonzero(~inside[:-1] & inside[1:]), np.flatnonzero(inside[:-1] & ~inside[1:])
+        breaks = np.flatnonzero(points == 10)
+        of_line = np.searchsorted(breaks, starts)
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum((points.astype(np.uint64) + np.uint64(1)) * self.down[: len(points)], out=sums[1:])
+        words = _mix((sums[ends] - sums[starts]) * self.up[ends], _SEEDS[0])
+        first = np.flatnonzero(np.diff(of_line, prepend=-1))
+        counts = np.diff(first, append=len(words))
+        keep = counts >= MIN_WORDS
+        if not keep.any():
+            return np.empty(0, np.int64), np.empty((0, 2), np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        at = np.arange(len(words)) - np.repeat(first, counts)
+        keys = np.stack([np.add.reduceat(_mix(words, seed) * place[at], first) for seed, place in zip(_SEEDS[1:], self.places)], axis=1)
+        return of_line[first][keep], keys[keep], counts[keep], words[np.repeat(keep, counts)]
+
+
+def simhashes(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each line (its number of words; word hashes lie one line after the other) the bits that more than half of its words have.
+
+    64 counters for each line are kept as bit planes: adding a word is a ripple of carries over a few planes, for all lines
+    that are long enough at once. Very long lines are counted bit by bit instead.
+    """
+    out = np.zeros(len(counts), np.uint64)
+    first = np.cumsum(counts) - counts
+    long = np.flatnonzero(counts > 512)
+    for i in long.tolist():
+        bits = np.zeros(64, np.int64)
+        for at in range(int(first[i]), int(first[i] + counts[i]), 65536):
+            own = words[at : min(at + 65536, int(first[i] + counts[i]))]
+            bits += np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out[i] = np.packbits(bits * 2 > counts[i], bitorder="little").view(np.uint64)[0]
+    order = np.argsort(-counts, kind="stable")
+    order = order[len(long) :]  # the long ones come first
+    n, begin = counts[order], first[order]
+    planes = np.zeros((10, len(order)), np.uint64)
+    for k in range(int(n[0]) if len(n) else 0):
+        live = int(np.searchsorted(-n, -k, side="left"))  # lines of more than k words
+        carry = words[begin[:live] + k]
+        for plane in planes[: (k + 1).bit_length()]:
+            own = plane[:live]
+            own ^= carry
+            carry = carry & ~own
+    half, above, equal = n // 2, np.zeros(len(order), np.uint64), np.full(len(order), np.iinfo(np.uint64).max, np.uint64)
+    for bit in range(9, -1, -1):  # count > half, from the highest plane down
+        limit = np.where(half >> bit & 1, np.iinfo(np.uint64).max, np.uint64(0)).astype(np.uint64)
+        above |= equal & planes[bit] & ~limit
+        equal &= ~(planes[bit] ^ limit)
+    out[order] = above
+    return out.view(np.int64)
+
+
+LINE_SCHEMA = "doc_id long, th long, line int, key binary, sim long, sim2 long"
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    signs = _Signs()
+    hasher = LineHasher()
     for batch in batches:
-        out: dict[str, list] = {name: [] for name in _LINE_TYPES}
-        words = []
-        for doc_id, th, text in zip(batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("text").to_pylist()):
-            for number, line in enumerate((text or "").split("\n")):
-                found = normalise(line)
-                if len(found) >= MIN_WORDS:
-                    out["doc_id"].append(doc_id)
-                    out["th"].append(th)
-                    out["line"].append(number)
-                    out["key"].append(xxhash.xxh3_128_digest(" ".join(found)))
-                    words.append(found)
-        out["sim"] = simhashes(words, signs)
-        yield to_batch(out, _LINE_TYPES)
+        held: list[list[np.ndarray]] = [[], [], [], [], []]
+        n = 0
+        for row, text in enumerate(batch.column("text").to_pylist()):
+            if text:
+                found = hasher.lines(text)
+                for parts, part in zip(held, (*found, np.full(len(found[0]), row, np.int64))):
+                    parts.append(part)
+                n += len(found[3])
+            if n > _CHUNK:
+                yield _line_batch(batch, *map(np.concatenate, held))
+                held, n = [[], [], [], [], []], 0
+        if held[0]:
+            yield _line_batch(batch, *map(np.concatenate, held))
+
+
+def _line_batch(batch: pa.RecordBatch, numbers: np.ndarray, keys: np.ndarray, counts: np.ndarray, words: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+    offsets = pa.py_buffer(np.arange(0, 16 * len(row) + 1, 16, dtype=np.int32))
+    key = pa.Array.from_buffers(pa.binary(), len(row), [None, offsets, pa.py_buffer(np.ascontiguousarray(keys))])
+    at = pa.array(row)
+    columns = [batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(numbers.astype(np.int32)), key, pa.array(simhashes(words, counts)), pa.array(simhashes(_mix(words, _SEEDS[2]), counts))]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "line", "key", "sim", "sim2"])
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -170,8 +230,8 @@ def similar(a: str, b: str) -> bool:
 
 def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Links only as far as they connect something: a pair that is already connected needs no comparison."""
-    sims = np.array([row["sim"] for row in rows], np.int64).view(np.uint64)
-    near = np.bitwise_count(sims[:, None] ^ sims[None, :]) <= DISTANCE
+    first, second = (np.array([row[c] for row in rows], np.int64).view(np.uint64) for c in ("sim", "sim2"))
+    near = (np.bitwise_count(first[:, None] ^ first[None, :]) <= DISTANCE) & (np.bitwise_count(second[:, None] ^ second[None, :]) <= SECOND_DISTANCE)
     if not same:
         block = np.array(blocks)
         near &= block[:, None] != block[None, :]
@@ -194,22 +254,78 @@ def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.n
     return links, np.array([find(x) for x in range(len(rows))])
 
 
+def dealt_if_small(table: DataFrame, entries) -> DataFrame:
+    """The table, marked for broadcasting if its entries are few enough; it is stored, so counting costs a scan."""
+    n = table.agg(F.sum(entries)).first()[0]
+    return F.broadcast(table) if (n or 0) <= BROADCAST_ROWS else table
+
+
+def near_edges(keys: np.ndarray, sims: np.ndarray, seconds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of SimHashes sorted by key, edges (as places) that connect those of equal keys within both distances.
+
+    Rows are compared at growing lags, all at once, as far as keys are still equal.
+    """
+    label = np.arange(len(keys))
+    alive, lag, pairs = label, 1, []
+    while True:
+        alive = alive[alive + lag < len(keys)]
+        alive = alive[keys[alive] == keys[alive + lag]]
+        if not len(alive):
+            break
+        near = alive[np.bitwise_count((sims[alive] ^ sims[alive + lag]).view(np.uint64)) <= DISTANCE]
+        near = near[np.bitwise_count((seconds[near] ^ seconds[near + lag]).view(np.uint64)) <= SECOND_DISTANCE]
+        if len(near):
+            pairs.append((near, near + lag))
+        lag += 1
+    if not pairs:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    low, high = (np.concatenate(x) for x in zip(*pairs))
+    while True:  # the least label among neighbours, until nothing changes
+        before = label.copy()
+        least = np.minimum(label[low], label[high])
+        np.minimum.at(label, low, least)
+        np.minimum.at(label, high, least)
+        label = label[label]
+        if (label == before).all():
+            break
+    moved = np.flatnonzero(label != np.arange(len(label)))
+    return moved, label[moved]
+
+
+def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ("key", "sim", "sim2")
+    open_rows = [np.empty(0, np.int64)] * 3
+    held: list[list[np.ndarray]] = []
+
+    def edges(rows: list[np.ndarray]) -> pa.RecordBatch:
+        a, b = near_edges(*rows)
+        columns = {"a1": rows[1][a], "a2": rows[2][a], "b1": rows[1][b], "b2": rows[2][b]}
+        return to_batch(columns, dict.fromkeys(columns, pa.int64()))
+
+    for batch in batches:
+        held.append([batch.column(c).to_numpy() for c in names])
+        if sum(len(rows[0]) for rows in held) < 100_000:
+            continue
+        rows = [np.concatenate(x) for x in zip(open_rows, *held)]
+        held = []
+        whole = int(np.searchsorted(rows[0], rows[0][-1]))  # the last bucket may go on
+        yield edges([x[:whole] for x in rows])
+        open_rows = [x[whole:] for x in rows]
+    yield edges([np.concatenate(x) for x in zip(open_rows, *held)])
+
+
 def _sim_clusters(sims: DataFrame) -> DataFrame:
-    """(sim, cluster) for the distinct SimHashes that have others within DISTANCE."""
+    """(id, cluster) for the distinct pairs of SimHashes that have others within both distances."""
     masks = block_plan(sims.count())
     keys = F.array(*[F.xxhash64(F.lit(i), F.col("sim").bitwiseAND(F.lit(m if m < 1 << 63 else m - (1 << 64)))) for i, m in enumerate(masks)])
-    dealt = sims.select("sim", F.explode(keys).alias("key"))
-    buckets = dealt.repartition(F.col("key")).groupBy("key").agg(F.count("*").alias("n"), F.min("sim").alias("least"), F.max("sim").alias("most")).filter("n > 1")
-    buckets = durable(buckets)
-    pairs = buckets.filter((F.col("n") == 2) & (F.bit_count(F.col("least").bitwiseXOR(F.col("most"))) <= DISTANCE)).select(F.col("least").alias("a"), F.col("most").alias("b"))
-    large = buckets.filter("n > 2").select("key", "least")
-    large = F.broadcast(large) if large.count() <= BROADCAST_ROWS else large
-    stars = dealt.join(large, "key").select(F.col("sim").alias("a"), F.col("least").alias("b"))
-    return connected_components(pairs.unionByName(stars)).select(F.col("node").alias("sim"), F.col("root").alias("cluster"))
+    dealt = sims.select(F.explode(keys).alias("key"), "sim", "sim2").repartition(F.col("key")).sortWithinPartitions("key")
+    edges = map_batches(dealt, _bucket_edges, "a1 long, a2 long, b1 long, b2 long")
+    edges = edges.select(F.xxhash64("a1", "a2").alias("a"), F.xxhash64("b1", "b2").alias("b"))
+    return connected_components(edges).select(F.col("node").alias("id"), F.col("root").alias("cluster"))
 
 
 def _candidate_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = {"cluster": pa.int64(), "node": pa.binary(), "sim": pa.int64(), "blocks": pa.int32(), "block": pa.int32(), "text": pa.string()}
+    types = {"cluster": pa.int64(), "node": pa.binary(), "sim": pa.int64(), "sim2": pa.int64(), "blocks": pa.int32(), "block": pa.int32(), "text": pa.string()}
     for batch in batches:
         out: dict[str, list] = {name: [] for name in types}
         for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
@@ -225,17 +341,19 @@ def removed_lines(documents: DataFrame) -> DataFrame:
     given = documents.select("doc_id", "text", F.xxhash64("text").alias("th"))
     lines = durable(map_batches(given, _lines, LINE_SCHEMA))
     place = F.struct("doc_id", "th", "line")
-    nodes = durable(lines.groupBy("key").agg(F.first("sim").alias("sim"), F.count("*").alias("n"), F.min(place).alias("one")))
-    by_sim = nodes.groupBy("sim").agg(F.count("*").alias("keys"))
-    clusters = _sim_clusters(by_sim.select("sim"))
-    clustered = by_sim.join(clusters, "sim", "left").filter("cluster is not null or keys > 1").select("sim", F.coalesce("cluster", "sim").alias("cluster"))
-    members = with_blocks(nodes.join(clustered, "sim").select("cluster", F.col("key").alias("node"), "sim", "one"))
+    nodes = durable(lines.groupBy("key").agg(F.first("sim").alias("sim"), F.first("sim2").alias("sim2"), F.count("*").alias("n"), F.min(place).alias("one")))
+    by_sim = nodes.groupBy("sim", "sim2").agg(F.count("*").alias("keys"))
+    clusters = _sim_clusters(by_sim.select("sim", "sim2"))
+    own_id = F.xxhash64("sim", "sim2").alias("id")
+    clustered = by_sim.select(own_id, "keys").join(clusters, "id", "left").filter("cluster is not null or keys > 1").select("id", F.coalesce("cluster", "id").alias("cluster"))
+    members = with_blocks(nodes.select("key", "sim", "sim2", "one", own_id).join(clustered, "id").select("cluster", F.col("key").alias("node"), "sim", "sim2", "one"))
     wanted = members.groupBy(F.col("one.doc_id").alias("_id"), F.col("one.th").alias("_th")).agg(
-        F.collect_list(F.struct(F.col("one.line").alias("line"), "cluster", "node", "sim", "blocks", "block")).alias("wanted")
+        F.collect_list(F.struct(F.col("one.line").alias("line"), "cluster", "node", "sim", "sim2", "blocks", "block")).alias("wanted")
     )
+    wanted = dealt_if_small(durable(wanted), F.size("wanted"))
     held = given.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "wanted")
-    texts = map_batches(held, _candidate_texts, "cluster long, node binary, sim long, blocks int, block int, text string")
-    linked = durable(compare_tiles(texts, compare_lines, ["sim", "text"]))
+    texts = map_batches(held, _candidate_texts, "cluster long, node binary, sim long, sim2 long, blocks int, block int, text string")
+    linked = durable(compare_tiles(texts, compare_lines, ["sim", "sim2", "text"]))
     groups = connected_components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     rooted = nodes.join(groups.withColumnRenamed("node", "key"), "key", "left").select("key", "n", "one", "root")
     alone = rooted.filter("root is null and n > 1").select("key", F.col("one").alias("first"))
@@ -256,7 +374,8 @@ def remove_lines(text, removed):
 def dedup_lines(documents: DataFrame) -> DataFrame:
     """``documents`` with cleaned text, and n_lines and n_removed."""
     columns = [c for c in documents.columns if c != "text"]
-    gone = removed_lines(documents).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "removed")
+    gone = durable(removed_lines(documents).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "removed"))
+    gone = dealt_if_small(gone, F.size("removed"))
     keyed = documents.withColumn("_own", F.xxhash64("text"))
     joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")), "left")
     n_lines = F.when(F.col("text").isNull() | (F.col("text") == ""), 0).otherwise(F.length("text") - F.length(F.translate("text", "\n", "")) + 1)
