@@ -6,6 +6,7 @@ subcategory) in order, for example from a file.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from typing import NamedTuple
 
@@ -111,7 +112,8 @@ def load_patterns(table: DataFrame) -> list[Pattern]:
 def hierarchy(category: Column, patterns: list[Pattern] | None = None) -> Column:
     """struct(group, category, subcategory) of the first pattern that the upper-cased category contains."""
     upper = F.upper(category)
-    entries = F.array(*[F.struct(F.lit(p.text).alias("text"), F.lit(p.group).alias("group"), F.lit(p.category).alias("category"), F.lit(p.subcategory).alias("subcategory")) for p in patterns or default_patterns()])
+    rows = json.dumps([dict(zip(Pattern._fields, p)) for p in patterns or default_patterns()])
+    entries = F.from_json(F.lit(rows), "array<struct<text: string, `group`: string, category: string, subcategory: string>>")  # one constant
     first = F.get(F.filter(entries, lambda p: F.contains(upper, p["text"])), F.lit(0))
     other = F.struct(F.lit("Other").alias("group"), F.lit("Other").alias("category"), category.alias("subcategory"))
     found = F.struct(first["group"].alias("group"), first["category"].alias("category"), first["subcategory"].alias("subcategory"))
