@@ -228,6 +228,20 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert decontaminate.find_leaks(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("half, score", [(False, 0.7), (True, 0.5)])
+def test_passages_without_most_of_the_n_grams_are_found(spark, half, score):
+    """Copies edited every fifth word, and verbatim first halves; no exact copy elsewhere."""
+    rng = random.Random(6)
+    items = [words(rng, 20) for _ in range(3)]
+    rows = []
+    for i, item in enumerate(items):
+        copy = item[:10] if half else ["edited" if at % 5 == 2 else w for at, w in enumerate(item)]
+        rows.append((i, " ".join(words(rng, 50) + copy + words(rng, 50))))
+    bench = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_leaks(docs_of(spark, rows), bench).collect()}
+    assert found == {(i, i): score for i in range(3)}
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = {tuple(r) for r in decontaminate.find_leaks(docs, bench).collect()}

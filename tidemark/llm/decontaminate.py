@@ -1,13 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
 
 Words are lower-cased runs of word characters. Test items of MIN_WORDS words or more are taken in blocks of
 BLOCK_WORDS words, each block's vocabulary and n-grams being dealt to all tasks, and each block meets all
 documents; so the benchmark may have any size and nothing of unproven size is broadcast. One pass over the
-texts notes, for every document, which n-grams of SEED_WORDS words of the block's items it holds, and cuts out the
-passages where an item has enough of them close together (as the words' numbers in the block's vocabulary, which
-is all an alignment needs). The notes are written to the checkpoint folder. Counting them gives the number of documents
-that hold each n-gram, over the whole corpus. An item's rare n-grams are those held by at most as many
-documents as its middle one, so every item has seeds, however often it is copied. Passages with enough rare seeds are aligned:
+texts cuts out, for every document, the passages where an item has enough n-grams of SEED_WORDS words close together.
+How many documents hold an n-gram doesn't matter: an edited copy may hold only the frequent ones of its item, so every
+passage with enough seeds counts. It is aligned, unless so few of the item's words are in it that no alignment reaches MIN_SCORE:
 match +2, mismatch and gap -1; the score is the best local alignment over that of the item with itself.
 
 Result: (doc_id, item_id, score, first_word, last_word) for every document and item with a score of MIN_SCORE or
@@ -81,8 +79,8 @@ class Block:
         same = self.grams[found] == keys[at]
         return at[same], found[same]
 
-    def passages(self, ids: np.ndarray, at: np.ndarray, grams: np.ndarray) -> list[dict]:
-        """Where an item has enough different n-grams close together."""
+    def passages(self, ids: np.ndarray, at: np.ndarray, grams: np.ndarray) -> list[tuple[int, int, np.ndarray]]:
+        """(item, start, word numbers) where an item has enough different n-grams close together."""
         counts = self.starts[grams + 1] - self.starts[grams]
         places, which = np.repeat(at, counts), np.repeat(grams, counts)
         offsets = np.arange(len(places)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -97,7 +95,7 @@ class Block:
                 if len(seeds) >= self.needed[item]:
                     start = max(0, int(where[part[0]]) - reach)
                     end = int(where[part[-1]]) + reach
-                    out.append({"item": item, "start": start, "ids": ids[start:end], "seeds": seeds})
+                    out.append((item, start, ids[start:end]))
         return out
 
 
@@ -124,9 +122,13 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int]:
     return best / (2 * len(item)), ends[0], ends[1] - 1
 
 
-def _notes(block) -> object:
-    passage = pa.struct({"item": pa.int32(), "start": pa.int32(), "ids": pa.list_(pa.int32()), "seeds": pa.list_(pa.int32())})
-    types = {"doc_id": pa.int64(), "grams": pa.list_(pa.int32()), "passages": pa.list_(passage)}
+def reachable(item: np.ndarray, passage: np.ndarray) -> bool:
+    """Whether the passage has so many of the item's words that an alignment may score MIN_SCORE; each matches once at most."""
+    return bool(np.isin(item, passage).sum() >= MIN_SCORE * len(item))
+
+
+def _alignments(block) -> object:
+    types = {"doc_id": pa.int64(), "item_id": pa.int64(), "score": pa.float64(), "first_word": pa.int64(), "last_word": pa.int64()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = block.value
@@ -136,31 +138,13 @@ def _notes(block) -> object:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = np.array([number(w, -1) for w in words_of(text)], np.int64)
                 at, grams = own.hits(ids)
-                if len(at):
-                    out["doc_id"].append(doc_id)
-                    out["grams"].append(np.unique(grams))
-                    out["passages"].append(own.passages(ids, at, grams))
-            yield to_batch(out, types)
-
-    return work
-
-
-def _alignments(block, rare) -> object:
-    types = {"doc_id": pa.int64(), "item_id": pa.int64(), "score": pa.float64(), "first_word": pa.int64(), "last_word": pa.int64()}
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seeds = block.value, rare.value
-        for batch in batches:
-            out: dict[str, list] = {name: [] for name in types}
-            for doc_id, passages in zip(batch.column("doc_id").to_pylist(), batch.column("passages").to_pylist()):
                 best: dict[int, tuple[float, int, int]] = {}
-                for p in passages:
-                    item = p["item"]
-                    if len(seeds[item].intersection(p["seeds"])) < own.needed[item]:
+                for item, start, passage in own.passages(ids, at, grams) if len(at) else []:
+                    if not reachable(own.words[item], passage):
                         continue
-                    score, first, last = align(own.words[item], np.array(p["ids"], np.int64))
+                    score, first, last = align(own.words[item], passage)
                     if score >= MIN_SCORE and score > best.get(item, (0.0,))[0]:
-                        best[item] = (score, first + p["start"], last + p["start"])
+                        best[item] = (score, first + start, last + start)
                 for item, (score, first, last) in best.items():
                     for name, value in zip(types, (doc_id, own.ids[item], score, first, last)):
                         out[name].append(value)
@@ -194,14 +178,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = documents.select("doc_id", "text")
     for block in item_blocks(benchmark):
         shared = spark.sparkContext.broadcast(block)  # at most BLOCK_WORDS words and one item
-        note = "doc_id long, grams array<int>, passages array<struct<item: int, start: int, ids: array<int>, seeds: array<int>>>"
-        notes = durable(map_batches(texts, _notes(shared), note))
-        frequency = np.zeros(len(block.grams), np.int64)
-        for row in notes.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).toLocalIterator():
-            frequency[row["gram"]] = row["n"]
-        rare = [set(g[frequency[g] <= np.sort(frequency[g])[len(g) // 2]].tolist()) for g in block.of_item]
-        candidates = notes.filter(F.size("passages") > 0).select("doc_id", "passages")
-        out = out.unionByName(map_batches(candidates, _alignments(shared, spark.sparkContext.broadcast(rare)), schema))
+        out = out.unionByName(map_batches(texts, _alignments(shared), schema))
     return out
 
 
