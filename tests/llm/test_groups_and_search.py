@@ -185,6 +185,37 @@ def test_line_dedup_equals_all_pairs(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [8, 10, 20, 50])
+def test_one_changed_word_is_found(spark, n):
+    """Of 40 lines each with a copy of one word replaced, all of edit similarity 0.8 or more."""
+    rng = random.Random(n)
+    rows, pairs = [], 0
+    while pairs < 40:
+        line = words(rng, n)
+        copy = list(line)
+        copy[rng.randrange(n)] = words(rng, 1)[0]
+        if copy != line and line_dedup.similar(" ".join(line), " ".join(copy)):
+            rows += [(2 * pairs, " ".join(line)), (2 * pairs + 1, " ".join(copy))]
+            pairs += 1
+    got = line_dedup.dedup_lines(docs_of(spark, rows)).collect()
+    found = sum(r.n_removed for r in got if r.doc_id % 2)
+    assert found >= 0.8 * pairs and not any(r.n_removed for r in got if r.doc_id % 2 == 0)
+
+
+def test_similar_lines_pass_the_filter_of_tiles():
+    rng = random.Random(9)
+    lines = [" ".join(words(rng, 9)) for _ in range(3)]
+    for _ in range(60):
+        line = list(rng.choice(lines))
+        for _ in range(rng.randint(1, 16)):
+            at = rng.randrange(len(line))
+            line[at : at + rng.randint(0, 1)] = rng.choice(["x", "", "é"])
+        lines.append("".join(line))
+    near = line_dedup.perhaps_similar(lines)
+    true = [(i, j) for j in range(len(lines)) for i in range(j) if line_dedup.similar(lines[i], lines[j])]
+    assert len(true) > 20 and all(near[p] for p in true)
+
+
 def test_line_dedup_treats_repeated_rows_alike(spark):
     text = "one line with many words\nanother line with many words\none line with many words"
     got = line_dedup.dedup_lines(docs_of(spark, [(1, text), (1, text), (2, text)])).collect()

@@ -1,14 +1,20 @@
 """Line dedup: fuzzy lines across all documents; one occurrence of each connected group stays.
 
 Lines are normalised to their lower-cased runs of word characters. Lines of MIN_WORDS words or more take part,
-shorter ones are never removed. Lines that are equal when normalised are one node. A node's 64-bit SimHash is
-taken over its words. By the pigeonhole principle, SimHashes at a distance of DISTANCE or less agree in at least
-m - DISTANCE of m blocks; SimHashes are joined on every choice of that many blocks. ``block_plan`` takes m so large
-that chance meetings stay few at the number of SimHashes at hand. Buckets are read in key order, and edges that connect
-the members within DISTANCE of each other (and within SECOND_DISTANCE in a second SimHash) come out, not pairs. Connected SimHashes are clusters; their lines are compared in tiles of bounded
-size: such pairs whose edit similarity (1 - Levenshtein distance / longer length) is SIMILARITY or more
-are linked. Of each connected group of links the occurrence with the smallest (doc_id, text hash, line
-number) stays.
+shorter ones are never removed. Lines that are equal when normalised are one node. Nodes that meet in either of two
+ways are compared:
+
+- MinHash bands. Of a line's GRAM-grams of characters the least of each of BANDS * BAND_ROWS hashes is taken; lines that
+  agree in a band meet. A bucket is parted where lengths differ by more than SIMILARITY allows, which loses no pair.
+- SimHash blocks. A node's 64-bit SimHash is taken over its words. By the pigeonhole principle, SimHashes at a distance of DISTANCE
+  or less agree in at least m - DISTANCE of m blocks; SimHashes are joined on every choice of that many blocks.
+  ``block_plan`` takes m so large that chance meetings stay few at the number of SimHashes at hand. Buckets are read in key
+  order, and edges that connect the members within DISTANCE of each other (and within SECOND_DISTANCE in a second
+  SimHash) come out, not pairs. Connected SimHashes are clusters.
+
+Lines that meet are compared in tiles of bounded size: all pairs whose edit similarity (1 - Levenshtein distance / longer
+length) is SIMILARITY or more are linked, whatever their hashes. Of each connected group of links the occurrence with the
+smallest (doc_id, text hash, line number) stays.
 
 Defined results: a null text stays null and an empty one empty; of equal lines in one document the first stays;
 repeated rows are treated alike, as one occurrence; a null doc_id comes before all others; line ends
@@ -36,6 +42,10 @@ DISTANCE = 3
 #: A second SimHash, of other bits of the same words, keeps unrelated lines apart that meet in the first by chance.
 SECOND_DISTANCE = 4
 SIMILARITY = 0.8
+#: Longer grams or more rows make chance meetings fewer, more bands find more; the README has the recall by length.
+GRAM = 12
+BAND_ROWS = 2
+BANDS = 12
 #: Entries of a table that is dealt to all tasks at most; more are joined by a shuffle, with the same rows.
 BROADCAST_ROWS = 500_000
 _WORD = re.compile(r"\w+")
@@ -86,6 +96,10 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Odd factors, each of which puts the grams' hashes in another order.
+_MINHASHES = _powers(_BASE, BANDS * BAND_ROWS + 1)[1:]
+
+
 class LineHasher:
     """Keys and SimHashes of all lines of a text, in vector operations over its characters.
 
@@ -105,6 +119,10 @@ class LineHasher:
 
     def lines(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(line numbers, keys as rows of two, numbers of words, word hashes one line after the other) of the lines of MIN_WORDS words or more."""
+        return self.banded(text)[:4]
+
+    def banded(self, text: str) -> tuple[np.ndarray, ...]:
+        """What ``lines`` gives, and the normalised lines' lengths and bands."""
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
         self.grow(len(points))
         inside = np.zeros(len(points) + 2, bool)
@@ -119,10 +137,34 @@ class LineHasher:
         counts = np.diff(first, append=len(words))
         keep = counts >= MIN_WORDS
         if not keep.any():
-            return np.empty(0, np.int64), np.empty((0, 2), np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64)
+            return np.empty(0, np.int64), np.empty((0, 2), np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((0, BANDS), np.int32)
         at = np.arange(len(words)) - np.repeat(first, counts)
         keys = np.stack([np.add.reduceat(_mix(words, seed) * place[at], first) for seed, place in zip(_SEEDS[1:], self.places)], axis=1)
-        return of_line[first][keep], keys[keep], counts[keep], words[np.repeat(keep, counts)]
+        lengths, bands = self._bands(points, inside, starts[first][keep], ends[first + counts - 1][keep])
+        return of_line[first][keep], keys[keep], counts[keep], words[np.repeat(keep, counts)], lengths, bands
+
+    def _bands(self, points: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and bands of the lines between these places, over characters as ``normalise`` leaves them, with one space after a word."""
+        stays = inside[1:-1] | inside[:-2]
+        moved = np.zeros(len(points) + 1, np.int64)
+        np.cumsum(stays, out=moved[1:])
+        plain = np.where(inside[1:-1], points, 32)[stays].astype(np.uint64) + np.uint64(1)
+        begin, end = moved[starts], moved[ends]
+        sums = np.zeros(len(plain) + 1, np.uint64)
+        np.cumsum(plain * self.down[: len(plain)], out=sums[1:])
+        grams = np.zeros(len(plain) + 1, np.uint64)
+        if len(plain) >= GRAM:
+            grams[: len(plain) - GRAM + 1] = _mix((sums[GRAM:] - sums[:-GRAM]) * self.up[GRAM : len(plain) + 1], _SEEDS[0])
+        short = end - begin < GRAM  # one gram
+        grams[begin[short]] = _mix((sums[end[short]] - sums[begin[short]]) * self.up[end[short]], _SEEDS[0])
+        spans = np.stack([begin, np.maximum(begin + 1, end - GRAM + 1)], axis=1).ravel()
+        step = max(1, (1 << 18) // len(grams))  # hashes at once, so that memory stays small for any text
+        least = [np.minimum.reduceat(grams * _MINHASHES[i : i + step, None], spans, axis=1)[:, ::2] for i in range(0, len(_MINHASHES), step)]
+        rows = np.concatenate(least).reshape(BANDS, BAND_ROWS, len(begin))
+        bands = np.zeros((BANDS, len(begin)), np.uint64)
+        for i in range(BAND_ROWS):
+            bands = _mix(bands ^ rows[:, i], _SEEDS[1])
+        return end - begin, np.ascontiguousarray((bands >> np.uint64(32)).astype(np.uint32).T).view(np.int32)
 
 
 def simhashes(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -160,33 +202,34 @@ def simhashes(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-LINE_SCHEMA = "doc_id long, th long, line int, key binary, sim long, sim2 long"
+LINE_SCHEMA = "doc_id long, th long, line int, key binary, sim long, sim2 long, size int, bands array<int>"
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = LineHasher()
     for batch in batches:
-        held: list[list[np.ndarray]] = [[], [], [], [], []]
+        held: list[list[np.ndarray]] = [[] for _ in range(7)]
         n = 0
         for row, text in enumerate(batch.column("text").to_pylist()):
             if text:
-                found = hasher.lines(text)
+                found = hasher.banded(text)
                 for parts, part in zip(held, (*found, np.full(len(found[0]), row, np.int64))):
                     parts.append(part)
                 n += len(found[3])
             if n > _CHUNK:
                 yield _line_batch(batch, *map(np.concatenate, held))
-                held, n = [[], [], [], [], []], 0
+                held, n = [[] for _ in range(7)], 0
         if held[0]:
             yield _line_batch(batch, *map(np.concatenate, held))
 
 
-def _line_batch(batch: pa.RecordBatch, numbers: np.ndarray, keys: np.ndarray, counts: np.ndarray, words: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+def _line_batch(batch: pa.RecordBatch, numbers: np.ndarray, keys: np.ndarray, counts: np.ndarray, words: np.ndarray, sizes: np.ndarray, bands: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
     offsets = pa.py_buffer(np.arange(0, 16 * len(row) + 1, 16, dtype=np.int32))
     key = pa.Array.from_buffers(pa.binary(), len(row), [None, offsets, pa.py_buffer(np.ascontiguousarray(keys))])
     at = pa.array(row)
     columns = [batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(numbers.astype(np.int32)), key, pa.array(simhashes(words, counts)), pa.array(simhashes(_mix(words, _SEEDS[2]), counts))]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "line", "key", "sim", "sim2"])
+    columns += [pa.array(sizes.astype(np.int32)), pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), bands.ravel())]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "line", "key", "sim", "sim2", "size", "bands"])
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -228,10 +271,25 @@ def similar(a: str, b: str) -> bool:
     return abs(len(a) - len(b)) <= allowed and edit_distance(a, b) <= allowed
 
 
+def perhaps_similar(texts: list[str]) -> np.ndarray:
+    """Which pairs may be similar: an edit changes the length by one at most, and takes and gives three 3-grams at most."""
+    sizes = np.array([len(x) for x in texts])
+    allowed = (1 - SIMILARITY) * np.maximum(sizes[:, None], sizes[None, :]) + 1e-9
+    near = np.abs(sizes[:, None] - sizes[None, :]) <= allowed
+    counts = np.zeros((len(texts), 256), np.int32)
+    for own, text in zip(counts, texts):
+        x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        own += np.bincount((x[:-2] * np.uint32(961) + x[1:-1] * np.uint32(31) + x[2:]) * np.uint32(0x9E3779B1) >> np.uint32(24), minlength=256).astype(np.int32)
+    for i in range(len(texts) - 1):
+        others = np.flatnonzero(near[i, i + 1 :]) + i + 1
+        near[i, others] = np.abs(counts[others] - counts[i]).sum(axis=1) <= 6 * allowed[i, others]
+    return np.triu(near, 1)
+
+
 def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Links only as far as they connect something: a pair that is already connected needs no comparison."""
-    first, second = (np.array([row[c] for row in rows], np.int64).view(np.uint64) for c in ("sim", "sim2"))
-    near = (np.bitwise_count(first[:, None] ^ first[None, :]) <= DISTANCE) & (np.bitwise_count(second[:, None] ^ second[None, :]) <= SECOND_DISTANCE)
+    texts = [" ".join(normalise(row["text"])) for row in rows]
+    near = perhaps_similar(texts)
     if not same:
         block = np.array(blocks)
         near &= block[:, None] != block[None, :]
@@ -244,8 +302,7 @@ def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.n
             x = parent[x]
         return x
 
-    texts = [" ".join(normalise(row["text"])) for row in rows]
-    for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1)))):
+    for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
         p, q = find(i), find(j)
         if p != q and similar(texts[i], texts[j]):
             parent[max(p, q)] = min(p, q)
@@ -317,15 +374,62 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _sim_clusters(sims: DataFrame) -> DataFrame:
     """(id, cluster) for the distinct pairs of SimHashes that have others within both distances."""
     masks = block_plan(sims.count())
-    keys = F.array(*[F.xxhash64(F.lit(i), F.col("sim").bitwiseAND(F.lit(m if m < 1 << 63 else m - (1 << 64)))) for i, m in enumerate(masks)])
-    dealt = sims.select(F.explode(keys).alias("key"), "sim", "sim2").repartition(F.col("key")).sortWithinPartitions("key")
+    masks = F.array(*[F.lit(m if m < 1 << 63 else m - (1 << 64)) for m in masks])
+    key = F.xxhash64("mask", F.col("sim").bitwiseAND(F.col("mask")))  # taken anew behind the shuffle, as a mask packs well and a hash does not
+    dealt = sims.select(F.explode(masks).alias("mask"), "sim", "sim2").repartition(key).select(key.alias("key"), "sim", "sim2").sortWithinPartitions("key")
     edges = map_batches(dealt, _bucket_edges, "a1 long, a2 long, b1 long, b2 long")
     edges = edges.select(F.xxhash64("a1", "a2").alias("a"), F.xxhash64("b1", "b2").alias("b"))
     return connected_components(edges).select(F.col("node").alias("id"), F.col("root").alias("cluster"))
 
 
+def bucket_runs(keys: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of lines sorted by key and length, the places of those that meet others, and a number for each meeting's set of lines.
+
+    A bucket is parted where the next length is so much greater that no line before and none after can be similar.
+    """
+    if not len(keys):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    parted = np.ones(len(keys), bool)
+    parted[1:] = (keys[1:] != keys[:-1]) | (sizes[:-1] < SIMILARITY * sizes[1:] - 1e-9)
+    first = np.flatnonzero(parted)
+    counts = np.diff(first, append=len(keys))
+    number = _mix(np.bitwise_xor.reduceat(_mix(ids.view(np.uint64), _SEEDS[1]), first) + counts.astype(np.uint64), _SEEDS[2])
+    at = np.flatnonzero(np.repeat(counts > 1, counts))
+    return at, np.repeat(number, counts)[at].view(np.int64)
+
+
+def _band_meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ("band", "size", "id")
+    open_rows = [np.empty(0, np.int64)] * 3
+    held: list[list[np.ndarray]] = []
+
+    def meetings(rows: list[np.ndarray]) -> pa.RecordBatch:
+        at, number = bucket_runs(*rows)
+        return to_batch({"cluster": number, "id": rows[2][at]}, {"cluster": pa.int64(), "id": pa.int64()})
+
+    for batch in batches:
+        held.append([batch.column(c).to_numpy() for c in names])
+        if sum(len(rows[0]) for rows in held) < 100_000:
+            continue
+        rows = [np.concatenate(x) for x in zip(open_rows, *held)]
+        held = []
+        whole = int(np.searchsorted(rows[0], rows[0][-1]))  # the last bucket may go on
+        yield meetings([x[:whole] for x in rows])
+        open_rows = [x[whole:] for x in rows]
+    yield meetings([np.concatenate(x) for x in zip(open_rows, *held)])
+
+
+def _band_members(nodes: DataFrame) -> DataFrame:
+    """(cluster, node, one) of the lines that meet in bands; those that meet in several bands do so once."""
+    own = nodes.select(F.xxhash64("key").alias("id"), "size", F.posexplode("bands").alias("place", "band"))
+    dealt = own.select(F.xxhash64("place", "band").alias("band"), F.col("size").cast("long").alias("size"), "id")
+    dealt = dealt.repartition(F.col("band")).sortWithinPartitions("band", "size")
+    met = map_batches(dealt, _band_meetings, "cluster long, id long").distinct()
+    return met.join(nodes.select(F.xxhash64("key").alias("id"), F.col("key").alias("node"), "one"), "id").select("cluster", "node", "one")
+
+
 def _candidate_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = {"cluster": pa.int64(), "node": pa.binary(), "sim": pa.int64(), "sim2": pa.int64(), "blocks": pa.int32(), "block": pa.int32(), "text": pa.string()}
+    types = {"cluster": pa.int64(), "node": pa.binary(), "blocks": pa.int32(), "block": pa.int32(), "text": pa.string()}
     for batch in batches:
         out: dict[str, list] = {name: [] for name in types}
         for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
@@ -341,19 +445,20 @@ def removed_lines(documents: DataFrame) -> DataFrame:
     given = documents.select("doc_id", "text", F.xxhash64("text").alias("th"))
     lines = durable(map_batches(given, _lines, LINE_SCHEMA))
     place = F.struct("doc_id", "th", "line")
-    nodes = durable(lines.groupBy("key").agg(F.first("sim").alias("sim"), F.first("sim2").alias("sim2"), F.count("*").alias("n"), F.min(place).alias("one")))
+    nodes = durable(lines.groupBy("key").agg(F.first("sim").alias("sim"), F.first("sim2").alias("sim2"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.count("*").alias("n"), F.min(place).alias("one")))
     by_sim = nodes.groupBy("sim", "sim2").agg(F.count("*").alias("keys"))
     clusters = _sim_clusters(by_sim.select("sim", "sim2"))
     own_id = F.xxhash64("sim", "sim2").alias("id")
     clustered = by_sim.select(own_id, "keys").join(clusters, "id", "left").filter("cluster is not null or keys > 1").select("id", F.coalesce("cluster", "id").alias("cluster"))
-    members = with_blocks(nodes.select("key", "sim", "sim2", "one", own_id).join(clustered, "id").select("cluster", F.col("key").alias("node"), "sim", "sim2", "one"))
+    by_simhash = nodes.select("key", "one", own_id).join(clustered, "id").select("cluster", F.col("key").alias("node"), "one")
+    members = with_blocks(durable(by_simhash.unionByName(_band_members(nodes))))
     wanted = members.groupBy(F.col("one.doc_id").alias("_id"), F.col("one.th").alias("_th")).agg(
-        F.collect_list(F.struct(F.col("one.line").alias("line"), "cluster", "node", "sim", "sim2", "blocks", "block")).alias("wanted")
+        F.collect_list(F.struct(F.col("one.line").alias("line"), "cluster", "node", "blocks", "block")).alias("wanted")
     )
     wanted = dealt_if_small(durable(wanted), F.size("wanted"))
     held = given.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "wanted")
-    texts = map_batches(held, _candidate_texts, "cluster long, node binary, sim long, sim2 long, blocks int, block int, text string")
-    linked = durable(compare_tiles(texts, compare_lines, ["sim", "sim2", "text"]))
+    texts = map_batches(held, _candidate_texts, "cluster long, node binary, blocks int, block int, text string")
+    linked = durable(compare_tiles(texts, compare_lines, ["text"]))
     groups = connected_components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     rooted = nodes.join(groups.withColumnRenamed("node", "key"), "key", "left").select("key", "n", "one", "root")
     alone = rooted.filter("root is null and n > 1").select("key", F.col("one").alias("first"))
