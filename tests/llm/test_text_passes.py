@@ -115,6 +115,15 @@ def test_tagger_learns_and_adds():
     assert [text[s:e] for s, e, _ in pii.reconcile(spans, [])] == ["(415) 555-2671"]
 
 
+@pytest.mark.parametrize("address", ["firstname.lastname (at) mail.department.university (dot) edu", "firstname.lastname.secondname (at) mail.department.faculty.university (dot) edu", "first.last (at) department.org"])
+def test_spans_do_not_depend_on_where_windows_are_cut(address):
+    tagger = tagger_module.default_tagger()
+    before, after = "please write to ", " for more about it and then wait " * 4
+    texts = [" " * at + "some words stand here " * 8 + before + address + after for at in range(0, 48, 3)]
+    for text, spans in zip(texts, pii.tag_texts(tagger, texts)):
+        assert address in [text[s:e] for s, e, _ in pii.reconcile(spans, [])]
+
+
 def test_gradients_of_the_tagger():
     rng = np.random.default_rng(0)
     scores, moves, tags = rng.standard_normal((6, 2, 4)), rng.standard_normal((4, 4)), rng.integers(0, 4, (6, 2))

@@ -3,8 +3,8 @@
 Base spans follow fixed patterns per kind, leftmost and non-overlapping; matches that fail their check are dropped.
 The patterns are run in time linear in the text. The tagger (pii_tagger) reads windows of WINDOW characters,
 STRIDE apart, wherever a text holds something that personal data of these kinds cannot do without: an @, a
-bracketed "at", or seven digits close together. Spans cut by a window's edge are left to the next window, which holds them
-whole. The spans of all windows are reconciled over the whole text: those that fail their kind's check or touch a base span go, and
+bracketed "at", or seven digits close together. Where a window's edge cuts a span that no other window shows whole, a window of
+twice the length is laid around it, and so on until it is whole. The spans of all windows are reconciled over the whole text: those that fail their kind's check or touch a base span go, and
 of those that overlap the set with the greatest total score stays. Base spans always stay.
 
 ``spans`` and ``base_sha256`` list kind:start:end, by kind as listed, then start, in code points, end exclusive.
@@ -119,11 +119,24 @@ def tag_texts(tagger: Tagger, texts: list[str]) -> list[dict[Span, float]]:
     """For each text, the valid spans that its windows show whole, with their scores."""
     places = [(i, start) for i, text in enumerate(texts) for start in window_starts(text)]
     out: list[dict[Span, float]] = [{} for _ in texts]
-    for at in range(0, len(places), 1024):
-        some = places[at : at + 1024]
-        x = np.zeros((WINDOW, len(some)), np.int64)
+    size = WINDOW
+    while places:
+        cut = _tag_windows(tagger, texts, places, size, out)
+        size *= 2
+        step = size // 4
+        places = sorted({(i, max(0, (start + end) // 2 - size // 2) // step * step) for i, start, end in cut if not any(s <= start and end <= e for s, e, _ in out[i])})
+    return out
+
+
+def _tag_windows(tagger: Tagger, texts: list[str], places: list[tuple[int, int]], size: int, out: list[dict[Span, float]]) -> list[tuple[int, int, int]]:
+    """Adds what the windows of this size show whole, and returns (text, start, end) of what their edges cut."""
+    cuts = []
+    columns = max(1, 1024 * WINDOW // size)
+    for at in range(0, len(places), columns):
+        some = places[at : at + columns]
+        x = np.zeros((size, len(some)), np.int64)
         for column, (i, start) in enumerate(some):
-            own = encode(texts[i][start : start + WINDOW])
+            own = encode(texts[i][start : start + size])
             x[: len(own), column] = own
         paths, leads = tagger.decode(x)
         for column in np.flatnonzero(paths.any(axis=0)).tolist():
@@ -131,12 +144,16 @@ def tag_texts(tagger: Tagger, texts: list[str]) -> list[dict[Span, float]]:
             text = texts[i]
             for start, end, kind in spans_of(paths[:, column].tolist()):
                 end = min(end, len(text) - offset)
-                cut = (start == 0 and offset > 0) or (end == WINDOW and offset + WINDOW < len(text))
-                lead = float(leads[start : end + 1, column].sum()) if end > start else 0.0
-                if not cut and lead >= MIN_LEAD and valid(kind, text[offset + start : offset + end]):
+                if end <= start:
+                    continue
+                if (start == 0 and offset > 0) or (end == size and offset + size < len(text)):
+                    cuts.append((i, offset + start, offset + end))
+                    continue
+                lead = float(leads[start : end + 1, column].sum())
+                if lead >= MIN_LEAD and valid(kind, text[offset + start : offset + end]):
                     span = (offset + start, offset + end, kind)
                     out[i][span] = max(lead, out[i].get(span, 0.0))
-    return out
+    return cuts
 
 
 def listed(spans: list[Span]) -> str:
