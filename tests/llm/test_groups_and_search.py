@@ -202,6 +202,22 @@ def test_one_changed_word_is_found(spark, n):
     assert found >= 0.8 * pairs and not any(r.n_removed for r in got if r.doc_id % 2 == 0)
 
 
+def test_the_second_simhash_is_no_condition_for_links(spark):
+    """Similar lines that are near in the first SimHash and far in the second."""
+    rng, hasher, rows = random.Random(12), line_dedup.LineHasher(), []
+    while len(rows) < 20:
+        line = words(rng, 30)
+        copy = list(line)
+        copy[rng.randrange(30)] = words(rng, 1)[0]
+        pair = [" ".join(line), " ".join(copy)]
+        hashed = [hasher.lines(x)[2:] for x in pair]
+        first, second = (((int(a) ^ int(b)) & (1 << 64) - 1).bit_count() for a, b in zip(*([line_dedup.simhashes(w, n)[0], line_dedup.simhashes(line_dedup._mix(w, line_dedup._SEEDS[2]), n)[0]] for n, w in hashed)))
+        if line_dedup.similar(*pair) and first <= line_dedup.DISTANCE and second > line_dedup.SECOND_DISTANCE:
+            rows += [(len(rows), pair[0]), (len(rows) + 1, pair[1])]
+    got = line_dedup.dedup_lines(docs_of(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(i, i % 2) for i in range(20)]
+
+
 def test_similar_lines_pass_the_filter_of_tiles():
     rng = random.Random(9)
     lines = [" ".join(words(rng, 9)) for _ in range(3)]
