@@ -289,6 +289,15 @@ def test_passages_without_most_of_the_n_grams_are_found(spark, half, score):
     assert found == {(i, i): score for i in range(3)}
 
 
+def test_clean_documents_with_the_id_of_a_leaking_one_stay(spark):
+    rng = random.Random(7)
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").filter("length(text) > 60").orderBy("item_id").first().text
+    clean = [" ".join(words(rng, 40)) for _ in range(3)]
+    rows = [(None, item), (None, clean[0]), (None, None), (1, item), (1, clean[1]), (2, clean[2])]
+    kept = decontaminate.stage_decontaminate(spark, docs_of(spark, rows), SF).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted([(0, clean[0]), (0, ""), (1, clean[1]), (2, clean[2])])
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = {tuple(r) for r in decontaminate.find_leaks(docs, bench).collect()}

@@ -128,14 +128,14 @@ def reachable(item: np.ndarray, passage: np.ndarray) -> bool:
 
 
 def _alignments(block) -> object:
-    types = {"doc_id": pa.int64(), "item_id": pa.int64(), "score": pa.float64(), "first_word": pa.int64(), "last_word": pa.int64()}
+    types = {"doc_id": pa.int64(), "th": pa.int64(), "item_id": pa.int64(), "score": pa.float64(), "first_word": pa.int64(), "last_word": pa.int64()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = block.value
         number = own.vocabulary.get
         for batch in batches:
             out: dict[str, list] = {name: [] for name in types}
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for doc_id, text, th in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "th"))):
                 ids = np.array([number(w, -1) for w in words_of(text)], np.int64)
                 at, grams = own.hits(ids)
                 best: dict[int, tuple[float, int, int]] = {}
@@ -146,7 +146,7 @@ def _alignments(block) -> object:
                     if score >= MIN_SCORE and score > best.get(item, (0.0,))[0]:
                         best[item] = (score, first + start, last + start)
                 for item, (score, first, last) in best.items():
-                    for name, value in zip(types, (doc_id, own.ids[item], score, first, last)):
+                    for name, value in zip(types, (doc_id, th, own.ids[item], score, first, last)):
                         out[name].append(value)
             yield to_batch(out, types)
 
@@ -170,25 +170,30 @@ def item_blocks(benchmark: DataFrame) -> Iterator[Block]:
         yield Block(held)
 
 
-def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, score, first_word, last_word) of the documents that hold a test item."""
+def hashed_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, th, item_id, score, first_word, last_word) of the documents that hold a test item; th is the text's hash."""
     spark = documents.sparkSession
-    schema = "doc_id long, item_id long, score double, first_word long, last_word long"
+    schema = "doc_id long, th long, item_id long, score double, first_word long, last_word long"
     out = spark.createDataFrame([], schema)
-    texts = documents.select("doc_id", "text")
+    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("th"))
     for block in item_blocks(benchmark):
         shared = spark.sparkContext.broadcast(block)  # at most BLOCK_WORDS words and one item
         out = out.unionByName(map_batches(texts, _alignments(shared), schema))
     return out
 
 
+def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, score, first_word, last_word) of the documents that hold a test item."""
+    return hashed_leaks(documents, benchmark).drop("th")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents that hold a test item, with the items."""
     return find_leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no test item. (Documents without an id are told apart by nothing and leave together.)"""
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    found = durable(leaks.select(F.col("doc_id").alias("_id")).distinct())
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """Documents that hold no test item, told apart by id and text."""
+    leaks = hashed_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = durable(leaks.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct())
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left_anti")
