@@ -13,7 +13,7 @@ Defined results: a null URL is scored as an empty one; host and path of a URL wi
 rows each get their verdict; without accepted and rejected examples to compare, scores are 0 and the verdict is
 allow; an empty table gives no rows; other columns are ignored.
 
-Only DataFrame functions are used. Counts cover every labelled URL. Distinct URLs are cut into windows of
+Only DataFrame functions are used. Counts cover every labelled URL but those left out for calibration. Distinct URLs are cut into windows of
 ORDER + 1 characters; windows are pre-aggregated before they are shuffled, so a common host costs one row for
 each task. For the join of windows with their scores, each window's score is dealt to SALTS partitions, as
 ``http`` opens every URL. Nothing is broadcast; two models' tables may have any size.
