@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,19 +27,75 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; fall back to a local one only where none is named."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder that the cluster names; a local one only where none is named and all runs on this machine."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's path and file system, so that any store that Spark reaches will do."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+class Scratch:
+    """Tables written to the shared checkpoint folder, which cut lineage and outlive lost executors.
+
+    ``keep`` writes a table and reads it again; ``drop`` deletes tables that are done with; the rest goes when the block ends.
+    Within it, shuffle files go with the job that wrote them, since what a later job needs has been written.
+    """
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+        self.paths: dict[int, str] = {}
+
+    def __enter__(self) -> Scratch:
+        self.before = self.spark.conf.get(self.CLEANUP, "false")
+        self.spark.conf.set(self.CLEANUP, "true")
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.spark.conf.set(self.CLEANUP, self.before)
+        self._delete(self.folder)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        out, path = _written(df, f"{self.folder}/{uuid.uuid4().hex}")
+        self.paths[id(out)] = path
+        return out
+
+    def drop(self, *kept: DataFrame) -> None:
+        for df in kept:
+            self._delete(self.paths.pop(id(df)))
+
+    def _delete(self, path: str) -> None:
+        at, files = _file_system(self.spark, path)
+        files.delete(at, True)
+
+
+def _written(df: DataFrame, path: str) -> tuple[DataFrame, str]:
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage, so that lost executors cost no recomputation of what lies before."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The table, written to the shared checkpoint folder and read again; it goes when the application ends.
+
+    Lost executors cost no recomputation of what lies before.
+    """
+    spark = df.sparkSession
+    out, path = _written(df, f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}")
+    at, files = _file_system(spark, path)
+    files.deleteOnExit(at)
+    return out
 
 
 def ship_package(spark: SparkSession) -> None:
