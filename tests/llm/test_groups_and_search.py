@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import ann_search, clusters, decontaminate, line_dedup, ngram_join
+from tidemark.session import Scratch
 
 sys.path.insert(0, __file__.rsplit("/", 2)[0])
 
@@ -108,52 +109,40 @@ def test_edit_distance():
         assert line_dedup.edit_distance(a, b) == row[-1]
 
 
-def test_simhash_counts_bits():
+def test_a_block_is_the_simhash_of_its_sample():
     rng = np.random.default_rng(0)
-    hashes = rng.integers(0, 1 << 63, 2000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    counts = np.array([5, 700, 6, 512, 513, 7, 64])
-    got = line_dedup.simhashes(hashes[: counts.sum()], counts)
-    at = 0
-    for n, sim in zip(counts, got):
-        bits = np.unpackbits(hashes[at : at + n].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0)
-        assert np.packbits(bits * 2 > n, bitorder="little").view(np.int64)[0] == sim
-        at += n
-
-
-def test_blocks_cover_all_close_pairs():
-    masks = line_dedup.block_plan(1000)
-    rng = random.Random(3)
-    for _ in range(300):
-        a = rng.getrandbits(64)
-        b = a ^ sum(1 << i for i in rng.sample(range(64), line_dedup.DISTANCE))
-        assert any(a & m == b & m for m in masks)
-    assert len(line_dedup.block_plan(10**9)) > len(masks)
-
-
-def test_edges_of_buckets():
-    keys = np.array([1, 1, 1, 1, 2, 2, 3])
-    sims = np.array([0, 7, 0b111000 | 7, 1 << 40 | 1 << 41 | 1 << 42 | 1 << 43, 5, 5 ^ 0xFF00, 9])
-    seconds = np.zeros(7, np.int64)
-    a, b = line_dedup.near_edges(keys, sims, seconds)
-    assert {tuple(sorted(p)) for p in zip(sims[a].tolist(), sims[b].tolist())} == {(0, 7), (0, 63)}
-    seconds[1] = 31
-    assert line_dedup.near_edges(keys, sims, seconds)[0].tolist() == []
+    rows = rng.integers(0, 1 << 63, (4, 3, 5), dtype=np.uint64)
+    got = line_dedup.simhash_blocks(rows)
+    for b in range(4):
+        for n in range(5):
+            own = [int(x) for x in line_dedup._mix(rows[b, :, n].copy(), line_dedup._SEEDS[1])]
+            bits = sum(1 << i for i in range(64) if 2 * sum(x >> i & 1 for x in own) > 3)
+            mixed = line_dedup._mix(np.array([bits], np.uint64) + np.uint64(b + 1) * np.uint64(line_dedup._BASE), line_dedup._SEEDS[2])
+            assert mixed[0] == got[b, n]
+
+
+def test_a_short_line_meets_every_line_without_one_of_its_words():
+    hasher = line_dedup.LineHasher()
+    own = words(random.Random(4), 7)
+    _, _, _, n, blocks = hasher.lines(" ".join(own))
+    assert n.tolist() == [line_dedup.BLOCKS + 7]
+    for i in range(7):
+        for other in (own[:i] + ["zz"] + own[i + 1 :], own[:i] + own[i + 1 :] + ["zz"]):
+            found = hasher.lines("Some other line of five words here\n" + " ".join(other))[4]
+            assert blocks[line_dedup.BLOCKS + i] in found
 
 
 def brute_lines(rows):
-    hasher, places, sims = line_dedup.LineHasher(), {}, {}
+    """All pairs of different lines by edit similarity alone."""
+    places = {}
     for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
-        for n, line in enumerate((text or "").split("\n")):
-            own = line_dedup.normalise(line)
-            if len(own) >= line_dedup.MIN_WORDS:
-                key = " ".join(own)
-                places.setdefault(key, []).append((i, n))
-                if key not in sims:
-                    _, _, counts, hashed = hasher.lines(key)
-                    other = line_dedup._mix(hashed, line_dedup._SEEDS[2])
-                    sims[key] = [int(line_dedup.simhashes(h, counts)[0]) & (1 << 64) - 1 for h in (hashed, other)]
+        lines = [line_dedup.normalise(line) for line in (text or "").split("\n")]
+        if max(map(len, lines)) >= line_dedup.FULL_WORDS:
+            for n, own in enumerate(lines):
+                if own:
+                    places.setdefault(" ".join(own), []).append((i, n))
     keys = list(places)
-    links = [(a, b) for a in range(len(keys)) for b in range(a) if all((sims[keys[a]][i] ^ sims[keys[b]][i]).bit_count() <= d for i, d in enumerate((line_dedup.DISTANCE, line_dedup.SECOND_DISTANCE))) and line_dedup.similar(keys[a], keys[b])]
+    links = [(a, b) for a in range(len(keys)) for b in range(a) if line_dedup.similar(keys[a], keys[b])]
     root = roots(links, range(len(keys)))
     groups = {}
     for k, key in enumerate(keys):
@@ -162,7 +151,9 @@ def brute_lines(rows):
     return {i: None if t is None else "\n".join(line for n, line in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in rows}, len(links)
 
 
-def test_line_dedup_equals_all_pairs(spark):
+@pytest.mark.parametrize("block", [256, 3])
+def test_line_dedup_equals_all_pairs(spark, block, monkeypatch):
+    monkeypatch.setattr(clusters, "BLOCK", block)
     rng = random.Random(8)
     pool = [" ".join(words(rng, rng.randint(5, 30))) for _ in range(25)]
     rows = []
@@ -173,19 +164,44 @@ def test_line_dedup_equals_all_pairs(spark):
             if rng.random() < 0.5:
                 at = rng.randrange(len(line))
                 line = line[:at] + rng.choice("xyz") + line[at + 1 :]
-            lines.append(rng.choice([line, line.upper(), "short one", "", "fresh " + " ".join(words(rng, 8))]))
+            lines.append(rng.choice([line, line.upper(), "short one", "", "--", "fresh " + " ".join(words(rng, 8))]))
         rows.append((i, "\n".join(lines)))
-    rows += [(100, None), (101, ""), (102, "\n\n"), (None, pool[0] + "\nkept words in a line here"), (103, "word " * 3000)]
+    rows += [(99, "\n".join(pool)), (100, None), (101, ""), (102, "\n\n"), (None, pool[0] + "\nkept words in a line here"), (103, "word " * 3000), (104, "short one"), (105, "short one"), (106, "short one\n" + pool[3])]
     expected, links = brute_lines(rows)
-    docs = docs_of(spark, rows).withColumn("key", F.lit(1)).withColumn("line", F.lit("x"))
-    got = line_dedup.dedup_lines(docs).collect()
-    assert links > 0 and len(got) == len(rows)
+    docs = docs_of(spark, rows)
+    for name in ("key", "line", "removed", "_id", "_th", "_own", "node", "cluster", "text2"):
+        docs = docs.withColumn(name, F.lit(name))
+    got = line_dedup.dedup_lines(docs.withColumn("n_lines", F.lit("x"))).collect()
+    assert links > 20 and len(got) == len(rows)
     for r in got:
-        assert r.text == expected[r.doc_id]
+        text = dict(rows)[r.doc_id]
+        assert r.text == expected[r.doc_id] and r.removed == "removed" and r._th == "_th"
+        assert r.n_lines == (text.count("\n") + 1 if text else 0)
+    stage = line_dedup.stage_line_dedup(spark, docs, SF)
+    assert stage.columns == docs.columns
+    assert {r.doc_id for r in stage.collect()} == {i for i, t in rows if t is None or not t.strip() or expected[i].strip()}
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("n", [8, 10, 20, 50])
+def test_rows_outside_the_largest_group_of_a_cluster_are_compared(spark, monkeypatch):
+    """One large group of copies, and in the same cluster two lines that are similar to each other only, and one to a single member."""
+    monkeypatch.setattr(clusters, "BLOCK", 4)
+    rng = random.Random(2)
+    base = words(rng, 20)
+    texts = [" ".join(base[:i] + ["changed"] + base[i + 1 :]) for i in range(20) for _ in range(2)]
+    alone = " ".join(words(rng, 20))
+    texts += [alone, alone + " x", " ".join(words(rng, 20)), " ".join(["changed", *base[1:15], *words(rng, 4)])]
+    members = spark.createDataFrame([(7, bytes([i]), len(t), t) for i, t in enumerate(dict.fromkeys(texts))], "cluster long, node binary, size int, text string")
+    with Scratch(spark) as scratch:
+        edges = clusters.connect_members(scratch, clusters.with_blocks(members), line_dedup.compare_lines)
+        got = {r.node: r.root for r in clusters.connected_components(edges).collect()}
+    plain = list(dict.fromkeys(texts))
+    links = [(a, b) for a in range(len(plain)) for b in range(a) if line_dedup.similar(plain[a], plain[b])]
+    expected = roots(links, range(len(plain)))
+    assert {bytes(k): bytes(v) for k, v in got.items()} == {bytes([k]): bytes([v]) for k, v in expected.items() if list(expected.values()).count(v) > 1}
+
+
+@pytest.mark.parametrize("n", [5, 6, 8, 10, 20, 50])
 def test_one_changed_word_is_found(spark, n):
     """Of 40 lines each with a copy of one word replaced, all of edit similarity 0.8 or more."""
     rng = random.Random(n)
@@ -199,23 +215,7 @@ def test_one_changed_word_is_found(spark, n):
             pairs += 1
     got = line_dedup.dedup_lines(docs_of(spark, rows)).collect()
     found = sum(r.n_removed for r in got if r.doc_id % 2)
-    assert found >= 0.8 * pairs and not any(r.n_removed for r in got if r.doc_id % 2 == 0)
-
-
-def test_the_second_simhash_is_no_condition_for_links(spark):
-    """Similar lines that are near in the first SimHash and far in the second."""
-    rng, hasher, rows = random.Random(12), line_dedup.LineHasher(), []
-    while len(rows) < 20:
-        line = words(rng, 30)
-        copy = list(line)
-        copy[rng.randrange(30)] = words(rng, 1)[0]
-        pair = [" ".join(line), " ".join(copy)]
-        hashed = [hasher.lines(x)[2:] for x in pair]
-        first, second = (((int(a) ^ int(b)) & (1 << 64) - 1).bit_count() for a, b in zip(*([line_dedup.simhashes(w, n)[0], line_dedup.simhashes(line_dedup._mix(w, line_dedup._SEEDS[2]), n)[0]] for n, w in hashed)))
-        if line_dedup.similar(*pair) and first <= line_dedup.DISTANCE and second > line_dedup.SECOND_DISTANCE:
-            rows += [(len(rows), pair[0]), (len(rows) + 1, pair[1])]
-    got = line_dedup.dedup_lines(docs_of(spark, rows)).collect()
-    assert sorted((r.doc_id, r.n_removed) for r in got) == [(i, i % 2) for i in range(20)]
+    assert found >= 0.9 * pairs and not any(r.n_removed for r in got if r.doc_id % 2 == 0)
 
 
 def test_similar_lines_pass_the_filter_of_tiles():
@@ -233,9 +233,9 @@ def test_similar_lines_pass_the_filter_of_tiles():
 
 
 def test_line_dedup_treats_repeated_rows_alike(spark):
-    text = "one line with many words\nanother line with many words\none line with many words"
+    text = "one line with many words\nquite different things stand here\none line with many words"
     got = line_dedup.dedup_lines(docs_of(spark, [(1, text), (1, text), (2, text)])).collect()
-    assert sorted((r.doc_id, r.text) for r in got) == [(1, text[:53]), (1, text[:53]), (2, "")]
+    assert sorted((r.doc_id, r.text) for r in got) == [(1, text[: text.rindex("\n")])] * 2 + [(2, "")]
 
 
 def test_alignment():

@@ -6,38 +6,45 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.texts import map_batches, to_batch
-from tidemark.session import durable
+from tidemark.session import Scratch, durable
 
-#: Rows of a cluster's block. A tile holds two blocks at most, so a task's memory doesn't depend on cluster sizes.
+#: Rows, and characters on average, of a cluster's block. A tile holds two blocks, so a task's memory doesn't depend on
+#: cluster sizes; only a single text of more characters makes a larger tile.
 BLOCK = 256
+BLOCK_CHARS = 2 << 20
 ROUNDS = 60
 
+Compare = Callable[[list[dict], list[int], bool], tuple[np.ndarray, np.ndarray]]
+
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of (a, b); the root is the smallest node of the component.
 
     Alternates large-star and small-star steps, each a minimum by key (combined before the shuffle) and a join
-    whose skewed side Spark can split. Every round is written to the shared checkpoint folder; rounds grow with
-    the logarithm of the components' size. Nulls take no part; an empty input gives no rows.
+    whose skewed side Spark can split. Every round is written to the shared checkpoint folder and the one before
+    deleted; rounds grow with the logarithm of the components' size. Nulls take no part; an empty input gives no rows.
     """
-    links = durable(edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    for _ in range(ROUNDS):
-        if _is_star_forest(links):
-            break
-        around = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = around.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = links.select(F.col("v").alias("lo"), F.col("u").alias("hi")).join(least.withColumnRenamed("u", "lo"), "lo")
-        large = durable(large.select(F.col("hi").alias("u"), F.col("m").alias("v")).distinct())
-        below = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(below, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = durable(moved.unionByName(below.select("u", F.col("m").alias("v"))).distinct())
-    else:
-        raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
-    return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    with Scratch(edges.sparkSession) as scratch:
+        links = scratch.keep(edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+        for _ in range(ROUNDS):
+            if _is_star_forest(links):
+                break
+            around = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = around.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+            large = links.select(F.col("v").alias("lo"), F.col("u").alias("hi")).join(least.withColumnRenamed("u", "lo"), "lo")
+            large = scratch.keep(large.select(F.col("hi").alias("u"), F.col("m").alias("v")).distinct())
+            scratch.drop(links)
+            below = large.groupBy("u").agg(F.min("v").alias("m"))
+            moved = large.join(below, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+            links = scratch.keep(moved.unionByName(below.select("u", F.col("m").alias("v"))).distinct())
+            scratch.drop(large)
+        else:
+            raise RuntimeError(f"components did not settle in {ROUNDS} rounds")
+        return durable(links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()))
 
 
 def _is_star_forest(links: DataFrame) -> bool:
@@ -47,22 +54,23 @@ def _is_star_forest(links: DataFrame) -> bool:
 
 
 def with_blocks(members: DataFrame) -> DataFrame:
-    """(cluster, node, ...) with the number of blocks of the cluster and the row's own; clusters of one row go."""
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("_n")).filter("_n > 1")
-    sizes = sizes.select("cluster", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"))
-    return members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    """(cluster, node, size, ...) with the number of blocks of the cluster and the row's own; clusters of one row go."""
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("_n"), F.sum(F.coalesce(F.col("size"), F.lit(0)).cast("long")).alias("_size")).filter("_n > 1")
+    blocks = F.least(F.col("_n"), F.greatest(F.ceil(F.col("_n") / BLOCK), F.ceil(F.col("_size") / BLOCK_CHARS)))
+    return members.join(sizes.select("cluster", blocks.cast("int").alias("blocks")), "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
 
 
-def compare_tiles(members: DataFrame, compare: Callable[[list[dict], list[int], bool], tuple[np.ndarray, np.ndarray]], columns: list[str]) -> DataFrame:
+def compare_tiles(members: DataFrame, compare: Compare, columns: list[str], meets: Column | None = None) -> DataFrame:
     """(node, links, root) for every row of every tile.
 
     ``members`` has cluster, node (binary), blocks, block and ``columns``. Two blocks of a cluster meet in one
-    tile, and a block meets itself in one, so each pair of rows is compared once. ``compare(rows, blocks, same)``
-    returns, for the rows of a tile, their number of links and for each the position of the first row that it is
-    connected to; ``blocks`` holds each row's block, and unless ``same`` only rows of different blocks make pairs.
-    A link is thus counted for both its rows; (node, root) are edges that connect what the tile's links connect.
+    tile, and a block meets itself in one, so each pair of rows is compared once; ``meets`` lists the blocks that a row's block
+    meets, if not all. ``compare(rows, blocks, same)`` returns, for the rows of a tile, their number of links and for each the
+    position of the first row that it is connected to; ``blocks`` holds each row's block, and unless ``same`` only rows of
+    different blocks make pairs. A link is thus counted for both its rows; (node, root) are edges that connect what the tile's
+    links connect.
     """
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_other")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1) if meets is None else meets).alias("_other")
     placed = members.select("cluster", "node", "block", *columns, other)
     placed = placed.select(
         F.xxhash64("cluster", F.least("block", "_other"), F.greatest("block", "_other")).alias("tile"),
@@ -71,6 +79,10 @@ def compare_tiles(members: DataFrame, compare: Callable[[list[dict], list[int],
         "block",
         *columns,
     )
+    return _compared(placed, compare)
+
+
+def _compared(placed: DataFrame, compare: Compare) -> DataFrame:
     dealt = placed.repartition(F.col("tile")).sortWithinPartitions("tile", "same", "node")
     types = {"node": pa.binary(), "links": pa.int64(), "root": pa.binary()}
 
@@ -104,6 +116,46 @@ def compare_tiles(members: DataFrame, compare: Callable[[list[dict], list[int],
     return map_batches(dealt, work, "node binary, links long, root binary")
 
 
+def connect_members(scratch: Scratch, members: DataFrame, compare: Compare) -> DataFrame:
+    """(a, b) edges that connect what all pairs within the clusters connect, without looking at all pairs of a large cluster.
+
+    ``members`` has cluster, node, blocks, block, size and text. First every block meets itself and its cluster's first
+    block, which is all there is to a small cluster and connects most of a large group of copies. Rows outside
+    the largest group so found then meet each other and that group; pairs within it need no comparison.
+    """
+    meets = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0), F.col("block")))
+    found = scratch.keep(_edges(compare_tiles(members, compare, ["text"], meets)))
+    large = members.filter("blocks > 1")
+    if large.isEmpty():
+        return found
+    groups = connected_components(found)
+    large = scratch.keep(large.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    counted = large.groupBy("cluster", "root").agg(F.countDistinct("node").alias("n"))
+    largest = counted.groupBy("cluster").agg(F.max(F.struct("n", "root"))["root"].alias("largest"))
+    large = large.join(largest, "cluster").withColumn("inside", F.col("root") == F.col("largest")).drop("root", "largest")
+    rest = scratch.keep(with_blocks_again(large.filter("not inside").drop("inside", "blocks", "block")))
+    if rest.isEmpty():
+        return found
+    among = _edges(compare_tiles(rest, compare, ["text"]))
+    inside = large.filter("inside").select("cluster", "node", "blocks", "block", "text")
+    n_rest = rest.groupBy("cluster").agg(F.first("blocks").alias("r_blocks"))
+    n_inside = inside.groupBy("cluster").agg(F.first("blocks").alias("l_blocks"))
+    left = rest.join(n_inside, "cluster").select("cluster", "node", "text", F.lit(0).alias("block"), F.col("block").alias("r"), F.explode(F.sequence(F.lit(0), F.col("l_blocks") - 1)).alias("l"))
+    right = inside.join(n_rest, "cluster").select("cluster", "node", "text", F.lit(1).alias("block"), F.explode(F.sequence(F.lit(0), F.col("r_blocks") - 1)).alias("r"), F.col("block").alias("l"))
+    placed = left.unionByName(right).select(F.xxhash64("cluster", "r", "l").alias("tile"), F.lit(False).alias("same"), "node", "block", "text")
+    return found.unionByName(among).unionByName(_edges(_compared(placed, compare)))
+
+
+def with_blocks_again(members: DataFrame) -> DataFrame:
+    """As ``with_blocks``, but clusters of one row stay."""
+    sizes = members.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.col("size").cast("long")) / BLOCK_CHARS)).cast("int").alias("blocks"))
+    return members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+
+def _edges(compared: DataFrame) -> DataFrame:
+    return compared.filter(F.col("node") != F.col("root")).select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def first_connected(linked: np.ndarray) -> np.ndarray:
     """For a symmetric boolean matrix, the position of the first row of each row's component."""
     n = len(linked)

@@ -1,53 +1,48 @@
 """Line dedup: fuzzy lines across all documents; one occurrence of each connected group stays.
 
-Lines are normalised to their lower-cased runs of word characters. Lines of MIN_WORDS words or more take part,
-shorter ones are never removed. Lines that are equal when normalised are one node. Nodes that meet in either of two
-ways are compared:
-
-- MinHash bands. Of a line's GRAM-grams of characters the least of each of BANDS * BAND_ROWS hashes is taken; lines that
-  agree in a band meet. A bucket is parted where lengths differ by more than SIMILARITY allows, which loses no pair.
-- SimHash blocks. A node's 64-bit SimHash is taken over its words. By the pigeonhole principle, SimHashes at a distance of DISTANCE
-  or less agree in at least m - DISTANCE of m blocks; SimHashes are joined on every choice of that many blocks.
-  ``block_plan`` takes m so large that chance meetings stay few at the number of SimHashes at hand. Buckets are read in key
-  order, and edges that connect the members within DISTANCE of each other (and within SECOND_DISTANCE in a second
-  SimHash) come out, not pairs. Connected SimHashes are clusters.
-
-Lines that meet are compared in tiles of bounded size: all pairs whose edit similarity (1 - Levenshtein distance / longer
-length) is SIMILARITY or more are linked, whatever their hashes. Of each connected group of links the occurrence with the
-smallest (doc_id, text hash, line number) stays.
-
-Defined results: a null text stays null and an empty one empty; of equal lines in one document the first stays;
-repeated rows are treated alike, as one occurrence; a null doc_id comes before all others; line ends
-are line feeds and all other characters of kept lines stay as they are; an empty table gives no rows.
+Lines are normalised to their lower-cased runs of word characters; lines that are equal when normalised are one node. A node's
+SimHash has BLOCKS blocks of 64 bits. By the pigeonhole principle two SimHashes that differ in fewer than BLOCKS blocks agree
+in one, so SimHashes are joined on every block and lines that meet are compared.
+
+A block is the SimHash of a sample of the line's features, not of all of them: a SimHash over a whole line moves by a tenth of its bits
+or more when one word of ten changes, and no block long enough to be selective survives that (the README has figures). The
+features are runs of GRAM characters, a block's sample its SAMPLE least by hashes of its own, so that similar lines draw the same
+sample with a probability that follows from their similarity, whatever else they hold. Lines of SHORT_WORDS[0] to SHORT_WORDS[1]
+words, of which few runs survive an edit, have a block for each word besides: the line without it.
+
+Lines that share a block form a cluster. ``clusters.connect_members`` links all pairs whose edit similarity
+(1 - Levenshtein distance / longer length) is SIMILARITY or more, as far as they connect something new, in tiles of bounded
+size. Of each connected group of links the occurrence with the smallest (doc_id, text hash, line number) stays.
+
+Defined results: a null text stays null and an empty one empty; lines without word characters stay; a text without any line of
+FULL_WORDS words or more takes no part and stays as it is, so that a document of a few common words is no copy of a line
+elsewhere; of equal lines in one document the first stays; repeated rows are treated alike, as one occurrence; a null doc_id
+comes before all others; line ends are line feeds and all other characters of kept lines stay as they are; a text may have any
+length, and a task holds one batch of texts; columns of any other name pass through untouched; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
-from itertools import combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.clusters import compare_tiles, connected_components, with_blocks
+from tidemark.llm.clusters import connect_members, connected_components, with_blocks
 from tidemark.llm.texts import map_batches, to_batch
-from tidemark.session import durable
+from tidemark.session import Scratch, durable
 
-MIN_WORDS = 5
-DISTANCE = 3
-#: A second SimHash, of other bits of the same words, keeps unrelated lines apart that meet in the first by chance.
-SECOND_DISTANCE = 4
+FULL_WORDS = 5
 SIMILARITY = 0.8
-#: Longer grams or more rows make chance meetings fewer, more bands find more; the README has the recall by length.
+#: Longer grams or larger samples make chance meetings fewer, more blocks find more; the README has the recall by length.
 GRAM = 12
-BAND_ROWS = 2
-BANDS = 12
-#: Entries of a table that is dealt to all tasks at most; more are joined by a shuffle, with the same rows.
-BROADCAST_ROWS = 500_000
+SAMPLE = 2
+BLOCKS = 16
+SHORT_WORDS = (4, 10)
 _WORD = re.compile(r"\w+")
 
 
@@ -55,17 +50,6 @@ def normalise(line: str) -> list[str]:
     return _WORD.findall(line.lower())
 
 
-def block_plan(simhashes: int) -> list[int]:
-    """Bit masks, one for each choice of blocks, with few chance meetings among so many SimHashes."""
-    for m in range(DISTANCE + 2, 13):
-        tables, bits = comb(m, DISTANCE), 64 * (m - DISTANCE) // m - 1
-        if tables * simhashes / 2.0**bits <= 0.5 or m == 12:
-            break
-    edges = [round(64 * i / m) for i in range(m + 1)]
-    blocks = [((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in zip(edges, edges[1:])]
-    return [sum(chosen) for chosen in combinations(blocks, m - DISTANCE)]
-
-
 def _letters() -> np.ndarray:
     """Which code points belong to words, as the word pattern has it."""
     return np.fromiter((chr(c).isalnum() or c == 95 for c in range(0x110000)), bool, 0x110000)
@@ -97,11 +81,12 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
 
 
 #: Odd factors, each of which puts the grams' hashes in another order.
-_MINHASHES = _powers(_BASE, BANDS * BAND_ROWS + 1)[1:]
+_ORDERS = _powers(_BASE, BLOCKS * SAMPLE + 1)[1:]
+_NONE = np.empty(0, np.int64), np.empty((0, 2), np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
 
 
 class LineHasher:
-    """Keys and SimHashes of all lines of a text, in vector operations over its characters.
+    """Keys, lengths and blocks of all lines of a text, in vector operations over its characters.
 
     A word's hash is a polynomial of its characters: with Q the inverse of P, (S_end - S_start) * P^end for prefix sums S
     of c_i Q^i does not depend on where the word stands. A key is 128 bits of two polynomials of mixed word hashes.
@@ -117,34 +102,37 @@ class LineHasher:
             self.up, self.down = _powers(_BASE, n + 1), _powers(pow(_BASE, -1, 1 << 64), n + 1)
             self.places = [_powers(seed | 1, n + 1) for seed in _SEEDS[:2]]
 
-    def lines(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(line numbers, keys as rows of two, numbers of words, word hashes one line after the other) of the lines of MIN_WORDS words or more."""
-        return self.banded(text)[:4]
-
-    def banded(self, text: str) -> tuple[np.ndarray, ...]:
-        """What ``lines`` gives, and the normalised lines' lengths and bands."""
+    def lines(self, text: str) -> tuple[np.ndarray, ...]:
+        """(line numbers, keys as rows of two, lengths, numbers of blocks, blocks one line after the other) of the lines with words."""
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
         self.grow(len(points))
         inside = np.zeros(len(points) + 2, bool)
         inside[1:-1] = _IN_WORD[points]
         starts, ends = np.flatnonzero(~inside[:-1] & inside[1:]), np.flatnonzero(inside[:-1] & ~inside[1:])
-        breaks = np.flatnonzero(points == 10)
-        of_line = np.searchsorted(breaks, starts)
+        of_line = np.searchsorted(np.flatnonzero(points == 10), starts)
+        first = np.flatnonzero(np.diff(of_line, prepend=-1))
+        counts = np.diff(first, append=len(starts))
+        if not len(first) or counts.max() < FULL_WORDS:
+            return _NONE
         sums = np.zeros(len(points) + 1, np.uint64)
         np.cumsum((points.astype(np.uint64) + np.uint64(1)) * self.down[: len(points)], out=sums[1:])
         words = _mix((sums[ends] - sums[starts]) * self.up[ends], _SEEDS[0])
-        first = np.flatnonzero(np.diff(of_line, prepend=-1))
-        counts = np.diff(first, append=len(words))
-        keep = counts >= MIN_WORDS
-        if not keep.any():
-            return np.empty(0, np.int64), np.empty((0, 2), np.uint64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((0, BANDS), np.int32)
         at = np.arange(len(words)) - np.repeat(first, counts)
-        keys = np.stack([np.add.reduceat(_mix(words, seed) * place[at], first) for seed, place in zip(_SEEDS[1:], self.places)], axis=1)
-        lengths, bands = self._bands(points, inside, starts[first][keep], ends[first + counts - 1][keep])
-        return of_line[first][keep], keys[keep], counts[keep], words[np.repeat(keep, counts)], lengths, bands
-
-    def _bands(self, points: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths and bands of the lines between these places, over characters as ``normalise`` leaves them, with one space after a word."""
+        placed = [_mix(words, seed) * place[at] for seed, place in zip(_SEEDS[1:], self.places)]
+        keys = np.stack([np.add.reduceat(x, first) for x in placed], axis=1)
+        lengths, sampled = self._sampled(points, inside, starts[first], ends[first + counts - 1])
+        short = (counts >= SHORT_WORDS[0]) & (counts <= SHORT_WORDS[1])
+        own = np.repeat(short, counts)
+        spared = _spared(placed[0][own], counts[short], keys[short, 0])
+        n_blocks = BLOCKS + np.where(short, counts, 0)
+        blocks = np.empty(n_blocks.sum(), np.uint64)
+        begin = np.cumsum(n_blocks) - n_blocks
+        blocks[(begin[:, None] + np.arange(BLOCKS)).ravel()] = sampled.ravel()
+        blocks[(np.repeat(begin, counts) + BLOCKS + at)[own]] = spared
+        return of_line[first], keys, lengths, n_blocks, blocks.view(np.int64)
+
+    def _sampled(self, points: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and sampled blocks of the lines between these places, over characters as ``normalise`` leaves them, with one space after a word."""
         stays = inside[1:-1] | inside[:-2]
         moved = np.zeros(len(points) + 1, np.int64)
         np.cumsum(stays, out=moved[1:])
@@ -159,77 +147,70 @@ class LineHasher:
         grams[begin[short]] = _mix((sums[end[short]] - sums[begin[short]]) * self.up[end[short]], _SEEDS[0])
         spans = np.stack([begin, np.maximum(begin + 1, end - GRAM + 1)], axis=1).ravel()
         step = max(1, (1 << 18) // len(grams))  # hashes at once, so that memory stays small for any text
-        least = [np.minimum.reduceat(grams * _MINHASHES[i : i + step, None], spans, axis=1)[:, ::2] for i in range(0, len(_MINHASHES), step)]
-        rows = np.concatenate(least).reshape(BANDS, BAND_ROWS, len(begin))
-        bands = np.zeros((BANDS, len(begin)), np.uint64)
-        for i in range(BAND_ROWS):
-            bands = _mix(bands ^ rows[:, i], _SEEDS[1])
-        return end - begin, np.ascontiguousarray((bands >> np.uint64(32)).astype(np.uint32).T).view(np.int32)
+        least = [np.minimum.reduceat(grams * _ORDERS[i : i + step, None], spans, axis=1)[:, ::2] for i in range(0, len(_ORDERS), step)]
+        rows = np.concatenate(least).reshape(BLOCKS, SAMPLE, len(begin))
+        return end - begin, simhash_blocks(rows).T
 
 
-def simhashes(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """For each line (its number of words; word hashes lie one line after the other) the bits that more than half of its words have.
+def simhash_blocks(rows: np.ndarray) -> np.ndarray:
+    """For (blocks, sample, lines) features the blocks' SimHashes: the bits that more than half of a sample's hashes have.
 
-    64 counters for each line are kept as bit planes: adding a word is a ripple of carries over a few planes, for all lines
-    that are long enough at once. Very long lines are counted bit by bit instead.
+    A block's number is mixed in, so that only blocks of one number meet.
     """
-    out = np.zeros(len(counts), np.uint64)
+    hashed = _mix(rows, _SEEDS[1])
+    if rows.shape[1] <= 2:
+        bits = np.bitwise_and.reduce(hashed, axis=1)
+    else:
+        ones = np.unpackbits(np.ascontiguousarray(hashed).view(np.uint8).reshape(*rows.shape, 8), axis=3, bitorder="little").sum(axis=1)
+        bits = np.packbits(ones * 2 > rows.shape[1], axis=2, bitorder="little").view(np.uint64)[:, :, 0]
+    return _mix(bits + np.arange(1, len(rows) + 1, dtype=np.uint64)[:, None] * np.uint64(_BASE), _SEEDS[2])
+
+
+def _spared(placed: np.ndarray, counts: np.ndarray, wholes: np.ndarray) -> np.ndarray:
+    """For every word the hash of its line without it; ``placed`` are the words' hashes times their places."""
+    if not len(placed):
+        return placed
     first = np.cumsum(counts) - counts
-    long = np.flatnonzero(counts > 512)
-    for i in long.tolist():
-        bits = np.zeros(64, np.int64)
-        for at in range(int(first[i]), int(first[i] + counts[i]), 65536):
-            own = words[at : min(at + 65536, int(first[i] + counts[i]))]
-            bits += np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out[i] = np.packbits(bits * 2 > counts[i], bitorder="little").view(np.uint64)[0]
-    order = np.argsort(-counts, kind="stable")
-    order = order[len(long) :]  # the long ones come first
-    n, begin = counts[order], first[order]
-    planes = np.zeros((10, len(order)), np.uint64)
-    for k in range(int(n[0]) if len(n) else 0):
-        live = int(np.searchsorted(-n, -k, side="left"))  # lines of more than k words
-        carry = words[begin[:live] + k]
-        for plane in planes[: (k + 1).bit_length()]:
-            own = plane[:live]
-            own ^= carry
-            carry = carry & ~own
-    half, above, equal = n // 2, np.zeros(len(order), np.uint64), np.full(len(order), np.iinfo(np.uint64).max, np.uint64)
-    for bit in range(9, -1, -1):  # count > half, from the highest plane down
-        limit = np.where(half >> bit & 1, np.iinfo(np.uint64).max, np.uint64(0)).astype(np.uint64)
-        above |= equal & planes[bit] & ~limit
-        equal &= ~(planes[bit] ^ limit)
-    out[order] = above
-    return out.view(np.int64)
-
-
-LINE_SCHEMA = "doc_id long, th long, line int, key binary, sim long, sim2 long, size int, bands array<int>"
+    before = np.cumsum(placed) - placed
+    before = before - np.repeat(before[first], counts)
+    after = np.repeat(wholes, counts) - before - placed
+    back = np.uint64(pow(_SEEDS[0] | 1, -1, 1 << 64))  # the words behind move up by one place
+    return _mix(before + after * back, _SEEDS[2])
+
+
+LINE_TYPES = {"doc_id": pa.int64(), "th": pa.int64(), "line": pa.int32(), "key": pa.binary(), "size": pa.int32(), "blocks": pa.list_(pa.int64())}
+LINE_SCHEMA = "doc_id long, th long, line int, key binary, size int, blocks array<long>"
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = LineHasher()
     for batch in batches:
-        held: list[list[np.ndarray]] = [[] for _ in range(7)]
+        held: list[list[np.ndarray]] = [[] for _ in range(6)]
         n = 0
-        for row, text in enumerate(batch.column("text").to_pylist()):
+        for row, text in enumerate(batch.column("text")):
+            text = text.as_py()
             if text:
-                found = hasher.banded(text)
+                found = hasher.lines(text)
                 for parts, part in zip(held, (*found, np.full(len(found[0]), row, np.int64))):
                     parts.append(part)
-                n += len(found[3])
+                n += len(found[4])
             if n > _CHUNK:
                 yield _line_batch(batch, *map(np.concatenate, held))
-                held, n = [[] for _ in range(7)], 0
+                held, n = [[] for _ in range(6)], 0
         if held[0]:
             yield _line_batch(batch, *map(np.concatenate, held))
 
 
-def _line_batch(batch: pa.RecordBatch, numbers: np.ndarray, keys: np.ndarray, counts: np.ndarray, words: np.ndarray, sizes: np.ndarray, bands: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+def _line_batch(batch: pa.RecordBatch, numbers: np.ndarray, keys: np.ndarray, sizes: np.ndarray, n_blocks: np.ndarray, blocks: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
     offsets = pa.py_buffer(np.arange(0, 16 * len(row) + 1, 16, dtype=np.int32))
     key = pa.Array.from_buffers(pa.binary(), len(row), [None, offsets, pa.py_buffer(np.ascontiguousarray(keys))])
     at = pa.array(row)
-    columns = [batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(numbers.astype(np.int32)), key, pa.array(simhashes(words, counts)), pa.array(simhashes(_mix(words, _SEEDS[2]), counts))]
-    columns += [pa.array(sizes.astype(np.int32)), pa.ListArray.from_arrays(np.arange(0, bands.size + 1, BANDS, dtype=np.int32), bands.ravel())]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "th", "line", "key", "sim", "sim2", "size", "bands"])
+    once = np.zeros(len(row), bool)
+    once[np.unique(keys[:, 0], return_index=True)[1]] = True  # equal lines give their blocks once
+    blocks, n_blocks = blocks[np.repeat(once, n_blocks)], np.where(once, n_blocks, 0)
+    lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(n_blocks))).astype(np.int32), blocks)
+    columns = [batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(numbers.astype(np.int32)), key, pa.array(sizes.astype(np.int32)), lists]
+    return pa.RecordBatch.from_arrays(columns, names=list(LINE_TYPES))
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -288,7 +269,7 @@ def perhaps_similar(texts: list[str]) -> np.ndarray:
 
 def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Links only as far as they connect something: a pair that is already connected needs no comparison."""
-    texts = [" ".join(normalise(row["text"])) for row in rows]
+    texts = [row["text"] for row in rows]
     near = perhaps_similar(texts)
     if not same:
         block = np.array(blocks)
@@ -311,161 +292,45 @@ def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.n
     return links, np.array([find(x) for x in range(len(rows))])
 
 
-def dealt_if_small(table: DataFrame, entries) -> DataFrame:
-    """The table, marked for broadcasting if its entries are few enough; it is stored, so counting costs a scan."""
-    n = table.agg(F.sum(entries)).first()[0]
-    return F.broadcast(table) if (n or 0) <= BROADCAST_ROWS else table
-
-
-def near_edges(keys: np.ndarray, sims: np.ndarray, seconds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of SimHashes sorted by key, edges (as places) that connect those of equal keys within both distances.
-
-    Rows are compared at growing lags, all at once, as far as keys are still equal.
-    """
-    label = np.arange(len(keys))
-    alive, lag, pairs = label, 1, []
-    while True:
-        alive = alive[alive + lag < len(keys)]
-        alive = alive[keys[alive] == keys[alive + lag]]
-        if not len(alive):
-            break
-        near = alive[np.bitwise_count((sims[alive] ^ sims[alive + lag]).view(np.uint64)) <= DISTANCE]
-        near = near[np.bitwise_count((seconds[near] ^ seconds[near + lag]).view(np.uint64)) <= SECOND_DISTANCE]
-        if len(near):
-            pairs.append((near, near + lag))
-        lag += 1
-    if not pairs:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    low, high = (np.concatenate(x) for x in zip(*pairs))
-    while True:  # the least label among neighbours, until nothing changes
-        before = label.copy()
-        least = np.minimum(label[low], label[high])
-        np.minimum.at(label, low, least)
-        np.minimum.at(label, high, least)
-        label = label[label]
-        if (label == before).all():
-            break
-    moved = np.flatnonzero(label != np.arange(len(label)))
-    return moved, label[moved]
-
-
-def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("key", "sim", "sim2")
-    open_rows = [np.empty(0, np.int64)] * 3
-    held: list[list[np.ndarray]] = []
-
-    def edges(rows: list[np.ndarray]) -> pa.RecordBatch:
-        a, b = near_edges(*rows)
-        columns = {"a1": rows[1][a], "a2": rows[2][a], "b1": rows[1][b], "b2": rows[2][b]}
-        return to_batch(columns, dict.fromkeys(columns, pa.int64()))
-
-    for batch in batches:
-        held.append([batch.column(c).to_numpy() for c in names])
-        if sum(len(rows[0]) for rows in held) < 100_000:
-            continue
-        rows = [np.concatenate(x) for x in zip(open_rows, *held)]
-        held = []
-        whole = int(np.searchsorted(rows[0], rows[0][-1]))  # the last bucket may go on
-        yield edges([x[:whole] for x in rows])
-        open_rows = [x[whole:] for x in rows]
-    yield edges([np.concatenate(x) for x in zip(open_rows, *held)])
-
-
-def _sim_clusters(sims: DataFrame) -> DataFrame:
-    """(id, cluster) for the distinct pairs of SimHashes that have others within both distances."""
-    masks = block_plan(sims.count())
-    masks = F.array(*[F.lit(m if m < 1 << 63 else m - (1 << 64)) for m in masks])
-    key = F.xxhash64("mask", F.col("sim").bitwiseAND(F.col("mask")))  # taken anew behind the shuffle, as a mask packs well and a hash does not
-    dealt = sims.select(F.explode(masks).alias("mask"), "sim", "sim2").repartition(key).select(key.alias("key"), "sim", "sim2").sortWithinPartitions("key")
-    edges = map_batches(dealt, _bucket_edges, "a1 long, a2 long, b1 long, b2 long")
-    edges = edges.select(F.xxhash64("a1", "a2").alias("a"), F.xxhash64("b1", "b2").alias("b"))
-    return connected_components(edges).select(F.col("node").alias("id"), F.col("root").alias("cluster"))
-
-
-def bucket_runs(keys: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of lines sorted by key and length, the places of those that meet others, and a number for each meeting's set of lines.
-
-    A bucket is parted where the next length is so much greater that no line before and none after can be similar.
-    """
-    if not len(keys):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    parted = np.ones(len(keys), bool)
-    parted[1:] = (keys[1:] != keys[:-1]) | (sizes[:-1] < SIMILARITY * sizes[1:] - 1e-9)
-    first = np.flatnonzero(parted)
-    counts = np.diff(first, append=len(keys))
-    number = _mix(np.bitwise_xor.reduceat(_mix(ids.view(np.uint64), _SEEDS[1]), first) + counts.astype(np.uint64), _SEEDS[2])
-    at = np.flatnonzero(np.repeat(counts > 1, counts))
-    return at, np.repeat(number, counts)[at].view(np.int64)
-
-
-def _band_meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("band", "size", "id")
-    open_rows = [np.empty(0, np.int64)] * 3
-    held: list[list[np.ndarray]] = []
-
-    def meetings(rows: list[np.ndarray]) -> pa.RecordBatch:
-        at, number = bucket_runs(*rows)
-        return to_batch({"cluster": number, "id": rows[2][at]}, {"cluster": pa.int64(), "id": pa.int64()})
-
-    for batch in batches:
-        held.append([batch.column(c).to_numpy() for c in names])
-        if sum(len(rows[0]) for rows in held) < 100_000:
-            continue
-        rows = [np.concatenate(x) for x in zip(open_rows, *held)]
-        held = []
-        whole = int(np.searchsorted(rows[0], rows[0][-1]))  # the last bucket may go on
-        yield meetings([x[:whole] for x in rows])
-        open_rows = [x[whole:] for x in rows]
-    yield meetings([np.concatenate(x) for x in zip(open_rows, *held)])
-
-
-def _band_members(nodes: DataFrame) -> DataFrame:
-    """(cluster, node, one) of the lines that meet in bands; those that meet in several bands do so once."""
-    own = nodes.select(F.xxhash64("key").alias("id"), "size", F.posexplode("bands").alias("place", "band"))
-    dealt = own.select(F.xxhash64("place", "band").alias("band"), F.col("size").cast("long").alias("size"), "id")
-    dealt = dealt.repartition(F.col("band")).sortWithinPartitions("band", "size")
-    met = map_batches(dealt, _band_meetings, "cluster long, id long").distinct()
-    return met.join(nodes.select(F.xxhash64("key").alias("id"), F.col("key").alias("node"), "one"), "id").select("cluster", "node", "one")
+def meetings(lines: DataFrame) -> DataFrame:
+    """(cluster, id) of the lines that share a block with others; sets of lines with the same least and greatest id are one cluster."""
+    own = lines.select(F.xxhash64("key").alias("id"), F.explode("blocks").alias("bits"))
+    bucket = Window.partitionBy("bits")
+    met = own.select("id", F.min("id").over(bucket).alias("least"), F.max("id").over(bucket).alias("greatest")).filter("least < greatest")
+    return met.select(F.xxhash64("least", "greatest").alias("cluster"), "id").distinct()
 
 
 def _candidate_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = {"cluster": pa.int64(), "node": pa.binary(), "blocks": pa.int32(), "block": pa.int32(), "text": pa.string()}
+    types = {"node": pa.binary(), "text": pa.string()}
     for batch in batches:
         out: dict[str, list] = {name: [] for name in types}
         for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
             lines = (text or "").split("\n")
-            for w in wanted:
-                for name in types:
-                    out[name].append(lines[w["line"]] if name == "text" else w[name])
+            out["node"] += [w["node"] for w in wanted]
+            out["text"] += [" ".join(normalise(lines[w["line"]])) for w in wanted]
         yield to_batch(out, types)
 
 
-def removed_lines(documents: DataFrame) -> DataFrame:
+def removed_lines(scratch: Scratch, documents: DataFrame) -> DataFrame:
     """(doc_id, th, removed): the numbers of the lines that go, for the documents that lose any; th is the text's hash."""
     given = documents.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    lines = durable(map_batches(given, _lines, LINE_SCHEMA))
+    lines = scratch.keep(map_batches(given, _lines, LINE_SCHEMA))
+    met = scratch.keep(meetings(lines))
     place = F.struct("doc_id", "th", "line")
-    nodes = durable(lines.groupBy("key").agg(F.first("sim").alias("sim"), F.first("sim2").alias("sim2"), F.first("size").alias("size"), F.first("bands").alias("bands"), F.count("*").alias("n"), F.min(place).alias("one")))
-    by_sim = nodes.groupBy("sim", "sim2").agg(F.count("*").alias("keys"))
-    clusters = _sim_clusters(by_sim.select("sim", "sim2"))
-    own_id = F.xxhash64("sim", "sim2").alias("id")
-    clustered = by_sim.select(own_id, "keys").join(clusters, "id", "left").filter("cluster is not null or keys > 1").select("id", F.coalesce("cluster", "id").alias("cluster"))
-    by_simhash = nodes.select("key", "one", own_id).join(clustered, "id").select("cluster", F.col("key").alias("node"), "one")
-    members = with_blocks(durable(by_simhash.unionByName(_band_members(nodes))))
-    wanted = members.groupBy(F.col("one.doc_id").alias("_id"), F.col("one.th").alias("_th")).agg(
-        F.collect_list(F.struct(F.col("one.line").alias("line"), "cluster", "node", "blocks", "block")).alias("wanted")
-    )
-    wanted = dealt_if_small(durable(wanted), F.size("wanted"))
+    nodes = scratch.keep(lines.groupBy("key").agg(F.first("size").alias("size"), F.count("*").alias("n"), F.min(place).alias("one")))
+    members = met.join(nodes.select(F.xxhash64("key").alias("id"), F.col("key").alias("node"), "size", "one"), "id").drop("id")
+    members = scratch.keep(with_blocks(members))
+    candidates = members.select("node", "one").dropDuplicates(["node"])
+    wanted = candidates.groupBy(F.col("one.doc_id").alias("_id"), F.col("one.th").alias("_th")).agg(F.collect_list(F.struct(F.col("one.line").alias("line"), "node")).alias("wanted"))
     held = given.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "wanted")
-    texts = map_batches(held, _candidate_texts, "cluster long, node binary, blocks int, block int, text string")
-    linked = durable(compare_tiles(texts, compare_lines, ["text"]))
-    groups = connected_components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    rooted = nodes.join(groups.withColumnRenamed("node", "key"), "key", "left").select("key", "n", "one", "root")
-    alone = rooted.filter("root is null and n > 1").select("key", F.col("one").alias("first"))
-    grouped = rooted.filter("root is not null")
+    texts = map_batches(held, _candidate_texts, "node binary, text string").groupBy("node").agg(F.first("text").alias("text"))
+    edges = connect_members(scratch, scratch.keep(members.drop("one").join(texts, "node")), compare_lines)
+    groups = connected_components(edges).withColumnRenamed("node", "key")
+    grouped = candidates.withColumnRenamed("node", "key").join(groups, "key")
     firsts = grouped.groupBy("root").agg(F.min("one").alias("first"))
     firsts = grouped.select("key", "root").join(firsts, "root").select("key", "first")
-    repeated = lines.select("key", "doc_id", "th", "line").join(alone.unionByName(firsts), "key")
+    alone = nodes.filter("n > 1").select("key", F.col("one").alias("first")).join(groups, "key", "left_anti")
+    repeated = lines.select("key", "doc_id", "th", "line").join(scratch.keep(alone.unionByName(firsts)), "key")
     gone = repeated.filter(~place.eqNullSafe(F.col("first")))
     return gone.groupBy("doc_id", "th").agg(F.collect_set("line").alias("removed"))
 
@@ -476,20 +341,22 @@ def remove_lines(text, removed):
     return F.element_at(F.transform(F.array(F.split(text, "\n")), lambda lines: F.array_join(F.transform(F.array_sort(kept), lambda i: F.get(lines, i)), "\n")), 1)
 
 
-def dedup_lines(documents: DataFrame) -> DataFrame:
-    """``documents`` with cleaned text, and n_lines and n_removed."""
-    columns = [c for c in documents.columns if c != "text"]
-    gone = durable(removed_lines(documents).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "removed"))
-    gone = dealt_if_small(gone, F.size("removed"))
-    keyed = documents.withColumn("_own", F.xxhash64("text"))
-    joined = keyed.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")), "left")
+def _cleaned(documents: DataFrame) -> tuple[DataFrame, str, str]:
+    """``documents`` with cleaned text and, under names that no column has, the lines that went (null for none) and the number of lines before."""
+    mark = f"_{uuid.uuid4().hex}"
+    with Scratch(documents.sparkSession) as scratch:
+        gone = durable(removed_lines(scratch, documents))
+    gone = gone.select(F.col("doc_id").alias(f"{mark}_id"), F.col("th").alias(f"{mark}_th"), F.col("removed").alias(mark))
+    joined = documents.join(gone, F.col("doc_id").eqNullSafe(F.col(f"{mark}_id")) & (F.xxhash64("text") == F.col(f"{mark}_th")), "left").drop(f"{mark}_id", f"{mark}_th")
+    text = F.when(F.col(mark).isNull(), F.col("text")).otherwise(remove_lines(F.col("text"), F.col(mark)))
     n_lines = F.when(F.col("text").isNull() | (F.col("text") == ""), 0).otherwise(F.length("text") - F.length(F.translate("text", "\n", "")) + 1)
-    return joined.select(
-        *columns,
-        F.when(F.col("removed").isNull(), F.col("text")).otherwise(remove_lines(F.col("text"), F.col("removed"))).alias("text"),
-        n_lines.cast("long").alias("n_lines"),
-        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
-    )
+    return joined.withColumns({"text": text, f"{mark}_n": n_lines.cast("long")}), mark, f"{mark}_n"
+
+
+def dedup_lines(documents: DataFrame) -> DataFrame:
+    """``documents`` with cleaned text, and n_lines and n_removed (in place of columns of these names)."""
+    cleaned, removed, before = _cleaned(documents)
+    return cleaned.withColumns({"n_lines": F.col(before), "n_removed": F.coalesce(F.size(removed), F.lit(0)).cast("long")}).drop(removed, before)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -500,7 +367,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with cleaned texts and their lengths; those that lost every line go."""
-    cleaned = dedup_lines(docs)
-    emptied = (F.col("n_removed") > 0) & (F.trim(F.col("text")) == "")
-    kept = cleaned.filter(~F.coalesce(emptied, F.lit(False)))
-    return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    cleaned, mark, _ = _cleaned(docs)
+    lost = F.col(mark).isNotNull()
+    kept = cleaned.filter(~F.coalesce(lost & (F.trim(F.col("text")) == ""), F.lit(False)))
+    return kept.withColumn("n_chars", F.when(lost, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)

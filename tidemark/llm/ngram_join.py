@@ -20,17 +20,18 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.clusters import compare_tiles, connected_components, first_connected, with_blocks
 from tidemark.llm.texts import map_batches, to_batch
-from tidemark.session import durable
+from tidemark.session import Scratch, durable
 
 N = 5
 THRESHOLD = 0.8
@@ -91,14 +92,16 @@ def band_hashes(grams: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words, (a, b) = _Words(), _multipliers()
-    types = {"doc_id": pa.int64(), "th": pa.int64(), "node": pa.binary(), "bands": pa.list_(pa.int64())}
+    types = {"doc_id": pa.int64(), "th": pa.int64(), "size": pa.int32(), "node": pa.binary(), "bands": pa.list_(pa.int64())}
     for batch in batches:
-        nodes, bands = [], []
-        for text in batch.column("text").to_pylist():
+        nodes, bands, sizes = [], [], []
+        for text in batch.column("text"):
+            text = text.as_py()
             grams = shingles(text, words)
+            sizes.append(len(text or ""))
             nodes.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
             bands.append(band_hashes(grams, a, b) if len(grams) else None)
-        yield to_batch({"doc_id": batch.column("doc_id"), "th": batch.column("th"), "node": nodes, "bands": bands}, types)
+        yield to_batch({"doc_id": batch.column("doc_id"), "th": batch.column("th"), "size": sizes, "node": nodes, "bands": bands}, types)
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -136,20 +139,25 @@ def compare_texts(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.n
 
 def join_documents(documents: DataFrame) -> DataFrame:
     """(doc_id, th, class_id, copy_id, n_copies, n_links, root): th is the hash of the text, root the group (null without words)."""
+    with Scratch(documents.sparkSession) as scratch:
+        return durable(_joined(scratch, documents))
+
+
+def _joined(scratch: Scratch, documents: DataFrame) -> DataFrame:
     given = documents.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    signed = durable(map_batches(given, _signatures, "doc_id long, th long, node binary, bands array<long>"))
+    signed = scratch.keep(map_batches(given, _signatures, "doc_id long, th long, size int, node binary, bands array<long>"))
     classes = signed.filter(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("doc_id").alias("copy_id"), F.count("*").alias("n_copies"), F.min(F.struct("doc_id", "th")).alias("one"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("copy_id"), F.count("*").alias("n_copies"), F.min(F.struct("doc_id", "th")).alias("one"), F.first("size").alias("size"), F.first("bands").alias("bands")
     )
-    classes = durable(classes)
-    banded = classes.select("node", F.posexplode("bands").alias("band", "hash"))
-    buckets = banded.groupBy("band", "hash").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    stars = banded.join(buckets, ["band", "hash"]).select(F.col("node").alias("a"), F.col("least").alias("b"))
-    clusters = connected_components(stars).withColumnRenamed("root", "cluster")
-    members = with_blocks(clusters.join(classes.select("node", "one"), "node"))
-    texts = given.withColumnRenamed("doc_id", "_id").withColumnRenamed("th", "_th")
+    classes = scratch.keep(classes)
+    bucket = Window.partitionBy("band", "hash")
+    met = classes.select("node", F.posexplode("bands").alias("band", "hash")).select("node", F.min("node").over(bucket).alias("least"))
+    clusters = connected_components(met.select(F.col("node").alias("a"), F.col("least").alias("b"))).withColumnRenamed("root", "cluster")
+    members = scratch.keep(with_blocks(clusters.join(classes.select("node", "one", "size"), "node")))
+    texts = given.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
     held = members.join(texts, F.col("one.doc_id").eqNullSafe(F.col("_id")) & (F.col("one.th") == F.col("_th")))
-    compared = durable(compare_tiles(held.select("cluster", "node", "blocks", "block", "text"), compare_texts, ["text"]))
+    held = scratch.keep(held.groupBy("cluster", "node", "blocks", "block").agg(F.first("text").alias("text")))
+    compared = scratch.keep(compare_tiles(held, compare_texts, ["text"]))
     links = compared.groupBy("node").agg(F.sum("links").alias("n_links"))
     groups = connected_components(compared.select(F.col("node").alias("a"), F.col("root").alias("b")))
     ids = classes.select("node", "copy_id", "n_copies").join(groups, "node", "left").join(links, "node", "left")
@@ -176,14 +184,14 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id. Texts without words stay."""
+    """One document of each group of near copies: the one with the smallest id (a null id goes first). Texts without words stay."""
+    mark = f"_{uuid.uuid4().hex}"  # no column of docs has this name
     joined = join_documents(docs)
     copies = joined.filter(F.col("root").isNotNull()).groupBy("root", "doc_id", "th").agg(F.count("*").alias("n"))
-    first = copies.groupBy("root").agg(F.min(F.struct("doc_id", "th", "n")).alias("one"))
-    first = first.select(F.col("one.doc_id").alias("_id"), F.col("one.th").alias("_th"), (F.col("one.n") > 1).alias("_again"))
-    bare = joined.filter(F.col("root").isNull()).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    kept = first.unionByName(bare.withColumn("_again", F.lit(False)))
-    keyed = docs.withColumn("_own", F.xxhash64("text"))
-    out = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")))
-    again = out.filter("_again").dropDuplicates(["doc_id", "_own"])  # rows that are repeated as a whole
-    return out.filter("not _again").unionByName(again).select(*docs.columns)
+    first = copies.groupBy("root").agg(F.min(F.struct("doc_id", "th", "n")).alias("one")).select("one.doc_id", "one.th", (F.col("one.n") > 1).alias("again"))
+    bare = joined.filter(F.col("root").isNull()).select("doc_id", "th", F.lit(False).alias("again")).distinct()
+    kept = first.unionByName(bare).select(F.col("doc_id").alias(f"{mark}_id"), F.col("th").alias(f"{mark}_th"), F.col("again").alias(f"{mark}_again"))
+    keyed = docs.withColumn(mark, F.xxhash64("text"))
+    out = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col(f"{mark}_id")) & (F.col(mark) == F.col(f"{mark}_th")))
+    again = out.filter(f"{mark}_again").dropDuplicates(["doc_id", mark])  # rows that are repeated as a whole
+    return out.filter(f"not {mark}_again").unionByName(again).select(*docs.columns)
