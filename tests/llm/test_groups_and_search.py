@@ -107,6 +107,13 @@ def test_edit_distance():
                 new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
             row = new
         assert line_dedup.edit_distance(a, b) == row[-1]
+    for _ in range(300):
+        a = "".join(rng.choices("abcd", k=rng.randint(40, 150)))
+        b = "".join(c if rng.random() < 0.8 else rng.choice(["", "x", "ab"]) for c in a)
+        d, limit = line_dedup.edit_distance(a, b), rng.randint(0, 60)
+        assert (line_dedup.edit_distance(a, b, limit) <= limit) == (d <= limit)
+        a, b = a.replace("d", " "), b.replace("d", " ")
+        assert line_dedup.easy_edits(a.split(" "), b.split(" "), 1000) >= line_dedup.edit_distance(a, b)
 
 
 def test_a_block_is_the_simhash_of_its_sample():
@@ -124,11 +131,11 @@ def test_a_block_is_the_simhash_of_its_sample():
 def test_a_short_line_meets_every_line_without_one_of_its_words():
     hasher = line_dedup.LineHasher()
     own = words(random.Random(4), 7)
-    _, _, _, n, blocks = hasher.lines(" ".join(own))
+    _, _, _, _, n, blocks = hasher.lines([" ".join(own)])
     assert n.tolist() == [line_dedup.BLOCKS + 7]
     for i in range(7):
         for other in (own[:i] + ["zz"] + own[i + 1 :], own[:i] + own[i + 1 :] + ["zz"]):
-            found = hasher.lines("Some other line of five words here\n" + " ".join(other))[4]
+            found = hasher.lines(["a b", "Some other line of five words here\n" + " ".join(other)])[5]
             assert blocks[line_dedup.BLOCKS + i] in found
 
 
@@ -191,9 +198,9 @@ def test_rows_outside_the_largest_group_of_a_cluster_are_compared(spark, monkeyp
     texts = [" ".join(base[:i] + ["changed"] + base[i + 1 :]) for i in range(20) for _ in range(2)]
     alone = " ".join(words(rng, 20))
     texts += [alone, alone + " x", " ".join(words(rng, 20)), " ".join(["changed", *base[1:15], *words(rng, 4)])]
-    members = spark.createDataFrame([(7, bytes([i]), len(t), t) for i, t in enumerate(dict.fromkeys(texts))], "cluster long, node binary, size int, text string")
+    members = spark.createDataFrame([(7, bytes([i]), len(t), t, 0, 65535) for i, t in enumerate(dict.fromkeys(texts))], "cluster long, node binary, size int, text string, bits long, place int")
     with Scratch(spark) as scratch:
-        edges = clusters.connect_members(scratch, clusters.with_blocks(members), line_dedup.compare_lines)
+        edges = clusters.connect_members(scratch, clusters.with_blocks(members), line_dedup.compare_lines, ["text", "bits", "place"])
         got = {r.node: r.root for r in clusters.connected_components(edges).collect()}
     plain = list(dict.fromkeys(texts))
     links = [(a, b) for a in range(len(plain)) for b in range(a) if line_dedup.similar(plain[a], plain[b])]

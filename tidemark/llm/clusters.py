@@ -116,15 +116,15 @@ def _compared(placed: DataFrame, compare: Compare) -> DataFrame:
     return map_batches(dealt, work, "node binary, links long, root binary")
 
 
-def connect_members(scratch: Scratch, members: DataFrame, compare: Compare) -> DataFrame:
+def connect_members(scratch: Scratch, members: DataFrame, compare: Compare, columns: list[str]) -> DataFrame:
     """(a, b) edges that connect what all pairs within the clusters connect, without looking at all pairs of a large cluster.
 
-    ``members`` has cluster, node, blocks, block, size and text. First every block meets itself and its cluster's first
+    ``members`` has cluster, node, blocks, block, size and ``columns``. First every block meets itself and its cluster's first
     block, which is all there is to a small cluster and connects most of a large group of copies. Rows outside
     the largest group so found then meet each other and that group; pairs within it need no comparison.
     """
     meets = F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(F.lit(0), F.col("block")))
-    found = scratch.keep(_edges(compare_tiles(members, compare, ["text"], meets)))
+    found = scratch.keep(_edges(compare_tiles(members, compare, columns, meets)))
     large = members.filter("blocks > 1")
     if large.isEmpty():
         return found
@@ -136,13 +136,13 @@ def connect_members(scratch: Scratch, members: DataFrame, compare: Compare) -> D
     rest = scratch.keep(with_blocks_again(large.filter("not inside").drop("inside", "blocks", "block")))
     if rest.isEmpty():
         return found
-    among = _edges(compare_tiles(rest, compare, ["text"]))
-    inside = large.filter("inside").select("cluster", "node", "blocks", "block", "text")
+    among = _edges(compare_tiles(rest, compare, columns))
+    inside = large.filter("inside").select("cluster", "node", "blocks", "block", *columns)
     n_rest = rest.groupBy("cluster").agg(F.first("blocks").alias("r_blocks"))
     n_inside = inside.groupBy("cluster").agg(F.first("blocks").alias("l_blocks"))
-    left = rest.join(n_inside, "cluster").select("cluster", "node", "text", F.lit(0).alias("block"), F.col("block").alias("r"), F.explode(F.sequence(F.lit(0), F.col("l_blocks") - 1)).alias("l"))
-    right = inside.join(n_rest, "cluster").select("cluster", "node", "text", F.lit(1).alias("block"), F.explode(F.sequence(F.lit(0), F.col("r_blocks") - 1)).alias("r"), F.col("block").alias("l"))
-    placed = left.unionByName(right).select(F.xxhash64("cluster", "r", "l").alias("tile"), F.lit(False).alias("same"), "node", "block", "text")
+    left = rest.join(n_inside, "cluster").select("cluster", "node", *columns, F.lit(0).alias("block"), F.col("block").alias("r"), F.explode(F.sequence(F.lit(0), F.col("l_blocks") - 1)).alias("l"))
+    right = inside.join(n_rest, "cluster").select("cluster", "node", *columns, F.lit(1).alias("block"), F.explode(F.sequence(F.lit(0), F.col("r_blocks") - 1)).alias("r"), F.col("block").alias("l"))
+    placed = left.unionByName(right).select(F.xxhash64("cluster", "r", "l").alias("tile"), F.lit(False).alias("same"), "node", "block", *columns)
     return found.unionByName(among).unionByName(_edges(_compared(placed, compare)))
 
 

@@ -7,7 +7,8 @@ in one, so SimHashes are joined on every block and lines that meet are compared.
 A block is the SimHash of a sample of the line's features, not of all of them: a SimHash over a whole line moves by a tenth of its bits
 or more when one word of ten changes, and no block long enough to be selective survives that (the README has figures). The
 features are runs of GRAM characters, a block's sample its SAMPLE least by hashes of its own, so that similar lines draw the same
-sample with a probability that follows from their similarity, whatever else they hold. Lines of SHORT_WORDS[0] to SHORT_WORDS[1]
+sample with a probability that follows from their similarity, whatever else they hold. What is drawn must stand at places that so few edits
+can bring about, so that lines that merely share a passage are seldom compared. Lines of SHORT_WORDS[0] to SHORT_WORDS[1]
 words, of which few runs survive an edit, have a block for each word besides: the line without it.
 
 Lines that share a block form a cluster. ``clusters.connect_members`` links all pairs whose edit similarity
@@ -56,7 +57,8 @@ def _letters() -> np.ndarray:
 
 
 _IN_WORD = _letters()
-_CHUNK = 1 << 20
+#: Characters of texts that are hashed at once; a longer text is hashed alone.
+_TOGETHER = 1 << 18
 _BASE = 0x9E3779B97F4A7C15
 _SEEDS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
 
@@ -80,9 +82,11 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: The low bits of a block, which hold where the first of its sample stands in the line, or that it stands nowhere or far behind.
+_NO_PLACE = np.uint64(0xFFFF)
 #: Odd factors, each of which puts the grams' hashes in another order.
-_ORDERS = _powers(_BASE, BLOCKS * SAMPLE + 1)[1:]
-_NONE = np.empty(0, np.int64), np.empty((0, 2), np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+_ORDERS = (_powers(_BASE, BLOCKS * SAMPLE + 1)[1:] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_NONE = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, 2), np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
 
 
 class LineHasher:
@@ -94,7 +98,7 @@ class LineHasher:
 
     def __init__(self):
         self.size = 0
-        self.grow(_CHUNK)
+        self.grow(_TOGETHER)
 
     def grow(self, n: int) -> None:
         if n > self.size:
@@ -102,8 +106,10 @@ class LineHasher:
             self.up, self.down = _powers(_BASE, n + 1), _powers(pow(_BASE, -1, 1 << 64), n + 1)
             self.places = [_powers(seed | 1, n + 1) for seed in _SEEDS[:2]]
 
-    def lines(self, text: str) -> tuple[np.ndarray, ...]:
-        """(line numbers, keys as rows of two, lengths, numbers of blocks, blocks one line after the other) of the lines with words."""
+    def lines(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """(numbers of texts, line numbers, keys as rows of two, lengths, numbers of blocks, blocks one line after the other) of the lines that take part."""
+        text = "\n".join(texts)
+        first_line = np.cumsum([0] + [x.count("\n") + 1 for x in texts[:-1]])
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
         self.grow(len(points))
         inside = np.zeros(len(points) + 2, bool)
@@ -112,8 +118,13 @@ class LineHasher:
         of_line = np.searchsorted(np.flatnonzero(points == 10), starts)
         first = np.flatnonzero(np.diff(of_line, prepend=-1))
         counts = np.diff(first, append=len(starts))
-        if not len(first) or counts.max() < FULL_WORDS:
+        if not len(first):
             return _NONE
+        number = of_line[first]
+        row = np.searchsorted(first_line, number, side="right") - 1
+        most = np.zeros(len(texts), np.int64)
+        np.maximum.at(most, row, counts)
+        takes_part = most[row] >= FULL_WORDS
         sums = np.zeros(len(points) + 1, np.uint64)
         np.cumsum((points.astype(np.uint64) + np.uint64(1)) * self.down[: len(points)], out=sums[1:])
         words = _mix((sums[ends] - sums[starts]) * self.up[ends], _SEEDS[0])
@@ -121,7 +132,7 @@ class LineHasher:
         placed = [_mix(words, seed) * place[at] for seed, place in zip(_SEEDS[1:], self.places)]
         keys = np.stack([np.add.reduceat(x, first) for x in placed], axis=1)
         lengths, sampled = self._sampled(points, inside, starts[first], ends[first + counts - 1])
-        short = (counts >= SHORT_WORDS[0]) & (counts <= SHORT_WORDS[1])
+        short = takes_part & (counts >= SHORT_WORDS[0]) & (counts <= SHORT_WORDS[1])
         own = np.repeat(short, counts)
         spared = _spared(placed[0][own], counts[short], keys[short, 0])
         n_blocks = BLOCKS + np.where(short, counts, 0)
@@ -129,7 +140,8 @@ class LineHasher:
         begin = np.cumsum(n_blocks) - n_blocks
         blocks[(begin[:, None] + np.arange(BLOCKS)).ravel()] = sampled.ravel()
         blocks[(np.repeat(begin, counts) + BLOCKS + at)[own]] = spared
-        return of_line[first], keys, lengths, n_blocks, blocks.view(np.int64)
+        own = np.repeat(takes_part, n_blocks)
+        return row[takes_part], (number - first_line[row])[takes_part], keys[takes_part], lengths[takes_part], n_blocks[takes_part], blocks[own].view(np.int64)
 
     def _sampled(self, points: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and sampled blocks of the lines between these places, over characters as ``normalise`` leaves them, with one space after a word."""
@@ -145,11 +157,21 @@ class LineHasher:
             grams[: len(plain) - GRAM + 1] = _mix((sums[GRAM:] - sums[:-GRAM]) * self.up[GRAM : len(plain) + 1], _SEEDS[0])
         short = end - begin < GRAM  # one gram
         grams[begin[short]] = _mix((sums[end[short]] - sums[begin[short]]) * self.up[end[short]], _SEEDS[0])
+        grams = (grams >> np.uint64(32)).astype(np.uint32)
         spans = np.stack([begin, np.maximum(begin + 1, end - GRAM + 1)], axis=1).ravel()
-        step = max(1, (1 << 18) // len(grams))  # hashes at once, so that memory stays small for any text
-        least = [np.minimum.reduceat(grams * _ORDERS[i : i + step, None], spans, axis=1)[:, ::2] for i in range(0, len(_ORDERS), step)]
-        rows = np.concatenate(least).reshape(BLOCKS, SAMPLE, len(begin))
-        return end - begin, simhash_blocks(rows).T
+        rows = np.empty((len(_ORDERS), len(begin)), np.uint32)
+        product, places = np.empty_like(grams), np.arange(len(grams), dtype=np.uint64)
+        at = np.empty((BLOCKS, len(begin)), np.int64)
+        for i, order in enumerate(_ORDERS):
+            np.multiply(grams, order, out=product)
+            if i % SAMPLE:
+                rows[i] = np.minimum.reduceat(product, spans)[::2]
+            else:  # with its place
+                least = np.minimum.reduceat(product.astype(np.uint64) << np.uint64(32) | places, spans)[::2]
+                rows[i] = least >> np.uint64(32)
+                at[i // SAMPLE] = (least & np.uint64(0xFFFFFFFF)).astype(np.int64) - begin
+        rows = rows.reshape(BLOCKS, SAMPLE, len(begin)).astype(np.uint64)
+        return end - begin, (simhash_blocks(rows) & ~_NO_PLACE | np.minimum(at.astype(np.uint64), _NO_PLACE)).T
 
 
 def simhash_blocks(rows: np.ndarray) -> np.ndarray:
@@ -175,7 +197,7 @@ def _spared(placed: np.ndarray, counts: np.ndarray, wholes: np.ndarray) -> np.nd
     before = before - np.repeat(before[first], counts)
     after = np.repeat(wholes, counts) - before - placed
     back = np.uint64(pow(_SEEDS[0] | 1, -1, 1 << 64))  # the words behind move up by one place
-    return _mix(before + after * back, _SEEDS[2])
+    return _mix(before + after * back, _SEEDS[2]) | _NO_PLACE
 
 
 LINE_TYPES = {"doc_id": pa.int64(), "th": pa.int64(), "line": pa.int32(), "key": pa.binary(), "size": pa.int32(), "blocks": pa.list_(pa.int64())}
@@ -185,26 +207,25 @@ LINE_SCHEMA = "doc_id long, th long, line int, key binary, size int, blocks arra
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = LineHasher()
     for batch in batches:
-        held: list[list[np.ndarray]] = [[] for _ in range(6)]
-        n = 0
+        texts, rows, size = [], [], 0
         for row, text in enumerate(batch.column("text")):
             text = text.as_py()
-            if text:
-                found = hasher.lines(text)
-                for parts, part in zip(held, (*found, np.full(len(found[0]), row, np.int64))):
-                    parts.append(part)
-                n += len(found[4])
-            if n > _CHUNK:
-                yield _line_batch(batch, *map(np.concatenate, held))
-                held, n = [[] for _ in range(6)], 0
-        if held[0]:
-            yield _line_batch(batch, *map(np.concatenate, held))
-
-
-def _line_batch(batch: pa.RecordBatch, numbers: np.ndarray, keys: np.ndarray, sizes: np.ndarray, n_blocks: np.ndarray, blocks: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+            if not text:
+                continue
+            if size + len(text) > _TOGETHER and texts:
+                yield _line_batch(batch, np.array(rows), *hasher.lines(texts))
+                texts, rows, size = [], [], 0
+            texts.append(text)
+            rows.append(row)
+            size += len(text)
+        if texts:
+            yield _line_batch(batch, np.array(rows), *hasher.lines(texts))
+
+
+def _line_batch(batch: pa.RecordBatch, rows: np.ndarray, row: np.ndarray, numbers: np.ndarray, keys: np.ndarray, sizes: np.ndarray, n_blocks: np.ndarray, blocks: np.ndarray) -> pa.RecordBatch:
     offsets = pa.py_buffer(np.arange(0, 16 * len(row) + 1, 16, dtype=np.int32))
     key = pa.Array.from_buffers(pa.binary(), len(row), [None, offsets, pa.py_buffer(np.ascontiguousarray(keys))])
-    at = pa.array(row)
+    at = pa.array(rows[row])
     once = np.zeros(len(row), bool)
     once[np.unique(keys[:, 0], return_index=True)[1]] = True  # equal lines give their blocks once
     blocks, n_blocks = blocks[np.repeat(once, n_blocks)], np.where(once, n_blocks, 0)
@@ -213,8 +234,11 @@ def _line_batch(batch: pa.RecordBatch, numbers: np.ndarray, keys: np.ndarray, si
     return pa.RecordBatch.from_arrays(columns, names=list(LINE_TYPES))
 
 
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance, by bit vectors as long as the shorter string, without common ends."""
+def edit_distance(a: str, b: str, limit: float = float("inf")) -> float:
+    """Levenshtein distance, by bit vectors as long as the shorter string, without common ends; infinite as soon as it must exceed the limit.
+
+    No path to the end costs less than where it crosses the diagonal that the end lies on.
+    """
     i = 0
     while i < min(len(a), len(b)) and a[i] == b[i]:
         i += 1
@@ -230,7 +254,11 @@ def edit_distance(a: str, b: str) -> int:
         where[c] = where.get(c, 0) | 1 << i
     full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
     up, down, distance = full, 0, len(a)
-    for c in b:
+    for j, c in enumerate(b):
+        if j & 31 == 31 and j > len(b) - len(a):
+            above = (1 << len(a) - len(b) + j) - 1
+            if j + (up & above).bit_count() - (down & above).bit_count() > limit:
+                return float("inf")
         match = where.get(c, 0)
         diagonal = (((match & up) + up) ^ up) | match | down
         right_up = down | ~(diagonal | up) & full
@@ -249,28 +277,73 @@ def edit_distance(a: str, b: str) -> int:
 def similar(a: str, b: str) -> bool:
     longer = max(len(a), len(b))
     allowed = (1 - SIMILARITY) * longer + 1e-9
-    return abs(len(a) - len(b)) <= allowed and edit_distance(a, b) <= allowed
+    return abs(len(a) - len(b)) <= allowed and edit_distance(a, b, allowed) <= allowed
+
+
+def easy_edits(p: list[str], q: list[str], limit: float) -> float:
+    """Edits of an alignment of two lists of words that is easy to find, as a bound; infinite beyond the limit.
+
+    Words are taken one by one; where they differ, the least number of words (LOOK_AHEAD at most) is replaced that leads to equal ones.
+    """
+    i = j = 0
+    edits = 0
+    while i < len(p) and j < len(q):
+        if p[i] == q[j]:
+            i += 1
+            j += 1
+            continue
+        for x, y in _STEPS:
+            if i + x < len(p) and j + y < len(q) and p[i + x] == q[j + y]:
+                break
+        else:
+            break
+        edits += max(sum(map(len, p[i : i + x])) + x, sum(map(len, q[j : j + y])) + y)
+        if edits > limit:
+            return float("inf")
+        i, j = i + x, j + y
+    edits += max(sum(map(len, p[i:])) + len(p) - i, sum(map(len, q[j:])) + len(q) - j)
+    return edits if edits <= limit else float("inf")
+
+
+LOOK_AHEAD = 5
+_STEPS = [(x, n - x) for n in range(1, LOOK_AHEAD + 1) for x in sorted(range(n + 1), key=lambda x: abs(2 * x - n))]
+_BINS = 4096
 
 
 def perhaps_similar(texts: list[str]) -> np.ndarray:
     """Which pairs may be similar: an edit changes the length by one at most, and takes and gives three 3-grams at most."""
     sizes = np.array([len(x) for x in texts])
     allowed = (1 - SIMILARITY) * np.maximum(sizes[:, None], sizes[None, :]) + 1e-9
-    near = np.abs(sizes[:, None] - sizes[None, :]) <= allowed
-    counts = np.zeros((len(texts), 256), np.int32)
-    for own, text in zip(counts, texts):
-        x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        own += np.bincount((x[:-2] * np.uint32(961) + x[1:-1] * np.uint32(31) + x[2:]) * np.uint32(0x9E3779B1) >> np.uint32(24), minlength=256).astype(np.int32)
+    near = np.triu(np.abs(sizes[:, None] - sizes[None, :]) <= allowed, 1)
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    grams = (points[:-2] * np.uint32(961) + points[1:-1] * np.uint32(31) + points[2:]) * np.uint32(0x9E3779B1) >> np.uint32(20)
+    ends = np.cumsum(sizes)
+    counts = np.zeros((len(texts), _BINS), np.int32)
+    for own, start, end in zip(counts, (ends - sizes).tolist(), ends.tolist()):
+        if end - start > 2:
+            own += np.bincount(grams[start : end - 2], minlength=_BINS).astype(np.int32)
     for i in range(len(texts) - 1):
-        others = np.flatnonzero(near[i, i + 1 :]) + i + 1
-        near[i, others] = np.abs(counts[others] - counts[i]).sum(axis=1) <= 6 * allowed[i, others]
-    return np.triu(near, 1)
+        others = np.flatnonzero(near[i])
+        if len(others):
+            near[i, others] = np.abs(counts[others] - counts[i]).sum(axis=1) <= 6 * allowed[i, others]
+    return near
+
+
+def in_reach(rows: list[dict], texts: list[str]) -> np.ndarray:
+    """Which pairs may be similar if what they share stays in place: the edits before it and behind it are at least as many as those parts differ in length."""
+    sizes, bits, place = np.array([len(x) for x in texts]), np.array([row["bits"] for row in rows]), np.array([row["place"] for row in rows])
+    shift = np.abs(place[:, None] - place[None, :])
+    rest = sizes - place
+    shift += np.abs(rest[:, None] - rest[None, :])
+    nowhere = place == int(_NO_PLACE)
+    unknown = (bits[:, None] != bits[None, :]) | nowhere[:, None] | nowhere[None, :]
+    return unknown | (shift <= (1 - SIMILARITY) * np.maximum(sizes[:, None], sizes[None, :]) + 1e-9)
 
 
 def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Links only as far as they connect something: a pair that is already connected needs no comparison."""
     texts = [row["text"] for row in rows]
-    near = perhaps_similar(texts)
+    near = perhaps_similar(texts) & in_reach(rows, texts)
     if not same:
         block = np.array(blocks)
         near &= block[:, None] != block[None, :]
@@ -283,21 +356,31 @@ def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.n
             x = parent[x]
         return x
 
-    for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
-        p, q = find(i), find(j)
-        if p != q and similar(texts[i], texts[j]):
-            parent[max(p, q)] = min(p, q)
-            links[i] += 1
-            links[j] += 1
+    def connect(test) -> None:
+        for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
+            p, q = find(i), find(j)
+            if p != q and test(i, j):
+                parent[max(p, q)] = min(p, q)
+                links[i] += 1
+                links[j] += 1
+
+    words = [text.split(" ") for text in texts]
+    connect(lambda i, j: easy_edits(words[i], words[j], (1 - SIMILARITY) * max(len(texts[i]), len(texts[j]))) < float("inf"))
+    connect(lambda i, j: similar(texts[i], texts[j]))
     return links, np.array([find(x) for x in range(len(rows))])
 
 
 def meetings(lines: DataFrame) -> DataFrame:
-    """(cluster, id) of the lines that share a block with others; sets of lines with the same least and greatest id are one cluster."""
-    own = lines.select(F.xxhash64("key").alias("id"), F.explode("blocks").alias("bits"))
+    """(cluster, id, bits, place) of the lines that share a block with others; sets of lines with the same least and greatest id are one cluster.
+
+    ``bits`` and ``place`` are those of the first block that made the line a member.
+    """
+    own = lines.select(F.xxhash64("key").alias("id"), F.explode("blocks").alias("block"))
+    own = own.select("id", F.shiftright("block", 16).alias("bits"), F.col("block").bitwiseAND(int(_NO_PLACE)).cast("int").alias("place"))
     bucket = Window.partitionBy("bits")
-    met = own.select("id", F.min("id").over(bucket).alias("least"), F.max("id").over(bucket).alias("greatest")).filter("least < greatest")
-    return met.select(F.xxhash64("least", "greatest").alias("cluster"), "id").distinct()
+    met = own.select("*", F.min("id").over(bucket).alias("least"), F.max("id").over(bucket).alias("greatest")).filter("least < greatest")
+    met = met.groupBy(F.xxhash64("least", "greatest").alias("cluster"), "id").agg(F.min(F.struct("bits", "place")).alias("at"))
+    return met.select("cluster", "id", "at.bits", "at.place")
 
 
 def _candidate_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,7 +407,7 @@ def removed_lines(scratch: Scratch, documents: DataFrame) -> DataFrame:
     wanted = candidates.groupBy(F.col("one.doc_id").alias("_id"), F.col("one.th").alias("_th")).agg(F.collect_list(F.struct(F.col("one.line").alias("line"), "node")).alias("wanted"))
     held = given.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "wanted")
     texts = map_batches(held, _candidate_texts, "node binary, text string").groupBy("node").agg(F.first("text").alias("text"))
-    edges = connect_members(scratch, scratch.keep(members.drop("one").join(texts, "node")), compare_lines)
+    edges = connect_members(scratch, scratch.keep(members.drop("one").join(texts, "node")), compare_lines, ["text", "bits", "place"])
     groups = connected_components(edges).withColumnRenamed("node", "key")
     grouped = candidates.withColumnRenamed("node", "key").join(groups, "key")
     firsts = grouped.groupBy("root").agg(F.min("one").alias("first"))
