@@ -11,9 +11,11 @@ Whole texts: special tokens are taken out of the raw text first, as the tokenize
 through NFC, lower-casing of single characters and the vocabulary's word pattern. Decoding joins token strings
 with one space, as the vocabulary file names no decoder.
 
-Defined results: a null or empty text has no tokens and decodes to the empty text; repeated rows each give a row;
-other columns are ignored. A worker keeps at most CACHE_WORDS words with their tokens and starts afresh beyond
-that; words longer than KEEP_CHARS are encoded and not kept. Neither changes a result. No shuffle.
+Defined results: a null or empty text has no tokens and decodes to the empty text; an empty table gives no rows; repeated rows
+each give a row; other columns are ignored. A text or a single word may have any length: states are kept by prefix for words of
+KEEP_CHARS or less only, longer ones are walked in sorted order with one stack of states, in time and memory linear in their
+length. A worker keeps at most CACHE_WORDS words with their tokens and starts afresh beyond that; longer words are encoded
+and not kept. Neither changes a result. No shuffle.
 """
 
 from __future__ import annotations
@@ -23,7 +25,9 @@ import json
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from os.path import commonprefix
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -92,11 +96,11 @@ class TrieEncoder:
         known = self.stands[left, right] = self.merge(self.symbols(left) + self.symbols(right)) == [left, right]
         return known
 
-    def last_token(self, spelt: str, tokens: list[str], begin: int, end: str) -> str:
-        """The last token of ``spelt + end``, which begins at ``begin`` or later; ``tokens[i]`` is that of the first i symbols."""
+    def last_token(self, spelt: str, stop: int, tokens: list[str], begin: int, end: str) -> str:
+        """The last token of ``spelt[:stop] + end``, which begins at ``begin`` or later; ``tokens[i]`` is that of the first i symbols."""
         alone, stands = self.alone, self.stands
-        for start in range(begin, len(spelt)):
-            token = spelt[start:] + end if end else spelt[start:]
+        for start in range(begin, stop):
+            token = spelt[start:stop] + end if end else spelt[start:stop]
             known = alone.get(token, False)
             if known or (known is None and self.is_token(token)):
                 if not start:
@@ -104,22 +108,55 @@ class TrieEncoder:
                 known = stands.get((tokens[start], token))
                 if known or (known is None and self.can_follow(tokens[start], token)):
                     return token
-        raise ValueError(f"no token ends {spelt!r}")
+        raise ValueError(f"no token ends {spelt[:stop][-80:]!r}")
 
-    def state(self, prefix: str, tokens: list[str], begin: int) -> tuple[str, int]:
-        """The state of a prefix whose own prefix has its longest such suffix at ``begin``."""
+    def next_state(self, spelt: str, stop: int, tokens: list[str], begin: int) -> tuple[str, int]:
+        """The state of ``spelt[:stop]``; the longest suffix of a symbol less that starts an entry begins at ``begin``."""
         starts = self.starts
-        while prefix[begin:] not in starts:
+        while spelt[begin:stop] not in starts:
             begin += 1
+        return self.last_token(spelt, stop, tokens, begin, ""), begin
+
+    def state(self, prefix: str, tokens: list[str], begin: int) -> tuple[str, int]:
+        """The state of a prefix of a word that may be kept."""
         if len(self.states) > CACHE_WORDS:
             self.states.clear()
-        found = self.states[prefix] = self.last_token(prefix, tokens, begin, ""), begin
+        found = self.states[prefix] = self.next_state(prefix, len(prefix), tokens, begin)
+        return found
+
+    def read_off(self, word: str, tokens: list[str], begin: int) -> list[str]:
+        """A word's tokens, from the states of its prefixes."""
+        token = self.last_token(word, len(word), tokens, begin, END)
+        own, at = [token], len(word) - len(token) + len(END)
+        while at:
+            own.append(tokens[at])
+            at -= len(tokens[at])
+        own.reverse()
+        return own
+
+    def encode_long(self, words: list[str]) -> dict[str, list[str]]:
+        """Tokens of long words: in sorted order a word follows those that it shares most with, so one stack of states is the trie's path."""
+        found: dict[str, list[str]] = {}
+        before, tokens, begins = "", [""], [0]
+        for word in sorted(words):
+            shared = min(len(commonprefix((before, word))), len(word) - 1, len(tokens) - 1)
+            del tokens[shared + 1 :], begins[shared + 1 :]
+            for stop in range(shared + 1, len(word)):
+                token, begin = self.next_state(word, stop, tokens, begins[-1])
+                tokens.append(token)
+                begins.append(begin)
+            found[word] = self.read_off(word, tokens, begins[-1])
+            before = word
         return found
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[str]]:
         """Tokens of each distinct word (in byte symbols)."""
         root: dict = {}
+        long = []
         for word in words:
+            if len(word) > KEEP_CHARS:
+                long.append(word)
+                continue
             node = root
             for symbol in word[:-1]:
                 below = node.get(symbol)
@@ -127,19 +164,13 @@ class TrieEncoder:
                     below = node[symbol] = {}
                 node = below
             node[word[-1] + END] = word
-        found: dict[str, list[str]] = {}
+        found = self.encode_long(long)
         prefix, tokens, begins = "", [""], [0]
         walk = [iter(root.items())]
         while walk:
             for symbol, below in walk[-1]:
                 if below.__class__ is str:
-                    token = self.last_token(below, tokens, begins[-1], END)
-                    own, at = [token], len(below) - len(token) + len(END)
-                    while at:
-                        own.append(tokens[at])
-                        at -= len(tokens[at])
-                    own.reverse()
-                    found[below] = own
+                    found[below] = self.read_off(below, tokens, begins[-1])
                 else:
                     prefix += symbol
                     token, begin = self.states.get(prefix) or self.state(prefix, tokens, begins[-1])
@@ -238,7 +269,7 @@ def codec_batches(path: str, with_ids: bool = False):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             out: dict[str, list] = {name: [] for name in TYPES}
-            ids_out: list[list[int]] = []
+            ids_out: list[bytes] = []
             for some in chunks(texts):
                 split = [codec.words(t or "") for t in some]
                 distinct = set().union(*split)
@@ -249,11 +280,13 @@ def codec_batches(path: str, with_ids: bool = False):
                     out["ids_sha256"].append(hashlib.sha256(ids).hexdigest())
                     out["decoded_sha256"].append(hashlib.sha256(codec.decode(words).encode("utf-8", "replace")).hexdigest())
                     if with_ids:
-                        ids_out.append([int.from_bytes(ids[i : i + 4], "little") for i in range(0, len(ids), 4)])
+                        ids_out.append(ids)
                 codec.forget_long({w for w in distinct if len(w) > KEEP_CHARS})
             out["doc_id"] = batch.column("doc_id")
             if with_ids:
-                yield to_batch(out | {"ids": ids_out}, TYPES | {"ids": pa.list_(pa.int64())})
+                offsets = np.cumsum([0, *(len(ids) // 4 for ids in ids_out)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(ids_out), "<u4").astype(np.int64))
+                yield to_batch(out | {"ids": lists}, TYPES | {"ids": pa.list_(pa.int64())})
             else:
                 yield to_batch(out, TYPES)
 

@@ -8,13 +8,15 @@ sampling, everything else covers all rows. A fifth of the fitted sample is kept
 temperature by which logits are divided.
 
 Predictions use the text alone. Defined results: a null text or one without a letter is ``und`` with score 0, as
-is every text if there is no training document; repeated rows each get a row; ``held_out`` is null for a null
+is every text if there is no training document; a text may have any length, as a task holds one batch of texts; an empty
+table gives no rows; repeated rows each get a row; ``held_out`` is null for a null
 doc_id, which is never trained on; other columns are ignored. Both passes over the texts are maps; only one row
 for each hash bucket and task is shuffled.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemark.llm.texts import map_batches, to_batch
 
@@ -175,33 +178,31 @@ def train(documents: DataFrame) -> Model:
     return Model(languages, idf, weights, fit_temperature(logits, np.array([label for _, _, label in tuning], int)))
 
 
-def identify(texts: DataFrame, model: Model, keep: dict[str, pa.DataType]) -> DataFrame:
-    """``keep`` columns of ``texts`` with lang_pred and score."""
+def identify(texts: DataFrame, model: Model, keep: list[str], said: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns of ``texts``, of any types, with the language and its score under the names ``said``."""
     shared = texts.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages numbers, whatever the input
-    types = keep | {"lang_pred": pa.string(), "score": pa.float64()}
+    given = texts.select(*[F.col(f"`{name}`") for name in keep], F.col("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            said = [own.predict(t) for t in batch.column("text").to_pylist()]
-            columns = {name: batch.column(name) for name in keep}
-            yield to_batch(columns | {"lang_pred": [s[0] for s in said], "score": [s[1] for s in said]}, types)
+            found = [own.predict(t.as_py()) for t in batch.column(len(keep))]
+            columns = [*batch.columns[: len(keep)], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *said])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields if f.name in keep]
-    return map_batches(texts, work, ", ".join([*fields, "lang_pred string", "score double"]))
+    schema = StructType([*given.schema.fields[: len(keep)], StructField(said[0], StringType()), StructField(said[1], DoubleType())])
+    return map_batches(given, work, schema)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     model = train(documents)
-    given = documents.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return identify(given, model, {"doc_id": pa.int64(), "held_out": pa.bool_()})
+    return identify(documents.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), model, ["doc_id", "held_out"])
 
 
 def stage_language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised: not ``und``, with a score of at least MIN_SCORE."""
-    model = train(docs.select("doc_id", "text", "lang"))
-    keep = {"doc_id": pa.int64(), "text": pa.string(), "lang": pa.string(), "source": pa.string(), "n_chars": pa.int64()}
-    judged = identify(docs.select(*keep), model, keep)
-    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).drop("lang_pred", "score")
+    """Documents whose language is recognised: not ``und``, with a score of at least MIN_SCORE. All columns stay."""
+    said = f"_{uuid.uuid4().hex}", f"_{uuid.uuid4().hex}"  # no column of docs has these names
+    judged = identify(docs, train(docs.select("doc_id", "text", "lang")), docs.columns, said)
+    return judged.filter((F.col(said[0]) != UNKNOWN) & (F.col(said[1]) >= MIN_SCORE)).drop(*said)

@@ -252,26 +252,19 @@ def edit_distance(a: str, b: str, limit: float = float("inf")) -> float:
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
-    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    up, down, distance = full, 0, len(a)
+    full = (1 << len(a)) - 1
+    up, down = full, 0
     for j, c in enumerate(b):
         if j & 31 == 31 and j > len(b) - len(a):
             above = (1 << len(a) - len(b) + j) - 1
             if j + (up & above).bit_count() - (down & above).bit_count() > limit:
                 return float("inf")
         match = where.get(c, 0)
-        diagonal = (((match & up) + up) ^ up) | match | down
-        right_up = down | ~(diagonal | up) & full
-        right_down = diagonal & up
-        if right_up & top:
-            distance += 1
-        elif right_down & top:
-            distance -= 1
-        right_up = right_up << 1 & full | 1
-        right_down = right_down << 1 & full
-        up = right_down | ~(diagonal | right_up) & full
+        diagonal = ((((match & up) + up) ^ up) | match | down) & full
+        right_up = (down | (full ^ (diagonal | up))) << 1 | 1
+        up = ((diagonal & up) << 1 | ~(diagonal | right_up)) & full
         down = right_up & diagonal
-    return distance
+    return len(b) + up.bit_count() - down.bit_count()
 
 
 def similar(a: str, b: str) -> bool:
@@ -405,7 +398,7 @@ def removed_lines(scratch: Scratch, documents: DataFrame) -> DataFrame:
     members = scratch.keep(with_blocks(members))
     candidates = members.select("node", "one").dropDuplicates(["node"])
     wanted = candidates.groupBy(F.col("one.doc_id").alias("_id"), F.col("one.th").alias("_th")).agg(F.collect_list(F.struct(F.col("one.line").alias("line"), "node")).alias("wanted"))
-    held = given.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "wanted")
+    held = given.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "wanted")
     texts = map_batches(held, _candidate_texts, "node binary, text string").groupBy("node").agg(F.first("text").alias("text"))
     edges = connect_members(scratch, scratch.keep(members.drop("one").join(texts, "node")), compare_lines, ["text", "bits", "place"])
     groups = connected_components(edges).withColumnRenamed("node", "key")
@@ -430,7 +423,7 @@ def _cleaned(documents: DataFrame) -> tuple[DataFrame, str, str]:
     with Scratch(documents.sparkSession) as scratch:
         gone = durable(removed_lines(scratch, documents))
     gone = gone.select(F.col("doc_id").alias(f"{mark}_id"), F.col("th").alias(f"{mark}_th"), F.col("removed").alias(mark))
-    joined = documents.join(gone, F.col("doc_id").eqNullSafe(F.col(f"{mark}_id")) & (F.xxhash64("text") == F.col(f"{mark}_th")), "left").drop(f"{mark}_id", f"{mark}_th")
+    joined = documents.join(gone.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(f"{mark}_id")) & (F.xxhash64("text") == F.col(f"{mark}_th")), "left").drop(f"{mark}_id", f"{mark}_th")
     text = F.when(F.col(mark).isNull(), F.col("text")).otherwise(remove_lines(F.col("text"), F.col(mark)))
     n_lines = F.when(F.col("text").isNull() | (F.col("text") == ""), 0).otherwise(F.length("text") - F.length(F.translate("text", "\n", "")) + 1)
     return joined.withColumns({"text": text, f"{mark}_n": n_lines.cast("long")}), mark, f"{mark}_n"
