@@ -1,8 +1,14 @@
-"""The corpus pipeline: documents to tokens in five stages, each written as Parquet and read again by the next."""
+"""The corpus pipeline: documents to tokens in five stages, each written as Parquet and read again by the next.
 
-from __future__ import annotations
+Language identification, line dedup, near-copy removal, benchmark decontamination and tokenisation. A stage works on all that
+the one before kept and returns the columns of documents, further ones included; the last returns tokens.
+
+Defined results: a document with a null or empty text, or without a letter, goes in the first stage, as it has no language;
+documents with null or repeated ids are told apart by their texts; of rows repeated as a whole one stays (third stage); a text may
+have any length; an empty table gives no rows, and without training labels no document has a language.
+"""
 
-import uuid
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,7 +17,7 @@ from tidemark.llm.decontaminate import stage_decontaminate
 from tidemark.llm.language_id import stage_language_id
 from tidemark.llm.line_dedup import stage_line_dedup
 from tidemark.llm.ngram_join import stage_ngram_join
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import Scratch, durable
 
 
 def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,11 +39,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other; what a stage keeps is written to the shared checkpoint folder."""
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
-    return docs
+    """All stages, one after the other; what a stage keeps is written to the shared checkpoint folder until the next has read it."""
+    with Scratch(spark) as scratch:
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        kept = None
+        for _, stage in STAGES[:-1]:
+            docs = scratch.keep(stage(spark, docs, sf_dir))
+            if kept is not None:
+                scratch.drop(kept)
+            kept = docs
+        return durable(STAGES[-1][1](spark, docs, sf_dir))
