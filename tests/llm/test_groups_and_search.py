@@ -132,13 +132,25 @@ def test_a_short_line_meets_every_line_without_one_of_its_words():
     hasher = line_dedup.LineHasher()
     own = words(random.Random(4), 7)
     _, _, _, _, n, blocks = hasher.lines([" ".join(own)])
-    assert n.tolist() == [line_dedup.BLOCKS + 7]
+    assert n.tolist() == [line_dedup.BLOCKS + 7 + 6]
     for i in range(7):
         for other in (own[:i] + ["zz"] + own[i + 1 :], own[:i] + own[i + 1 :] + ["zz"]):
             found = hasher.lines(["a b", "Some other line of five words here\n" + " ".join(other)])[5]
             assert blocks[line_dedup.BLOCKS + i] in found
 
 
+@pytest.mark.parametrize("n", [7, 9, 12])
+def test_two_replaced_words_of_a_short_line_spare_a_choice_of_parts(n):
+    hasher, rng = line_dedup.LineHasher(), random.Random(n)
+    own = words(rng, n)
+    blocks = set(hasher.lines([" ".join(own)])[5].tolist())
+    for i in range(n):
+        for j in range(i):
+            other = [w if k not in (i, j) else "zz" for k, w in enumerate(own)]
+            found = hasher.lines(["x y z u v w\n" + " ".join(other)])
+            assert found[4][1] == line_dedup.BLOCKS + 6 + (n if n <= 10 else 0) and blocks & set(found[5][found[4][0] :].tolist())
+
+
 def brute_lines(rows):
     """All pairs of different lines by edit similarity alone."""
     places = {}

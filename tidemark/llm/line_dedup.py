@@ -6,10 +6,11 @@ in one, so SimHashes are joined on every block and lines that meet are compared.
 
 A block is the SimHash of a sample of the line's features, not of all of them: a SimHash over a whole line moves by a tenth of its bits
 or more when one word of ten changes, and no block long enough to be selective survives that (the README has figures). The
-features are runs of GRAM characters, a block's sample its SAMPLE least by hashes of its own, so that similar lines draw the same
-sample with a probability that follows from their similarity, whatever else they hold. What is drawn must stand at places that so few edits
-can bring about, so that lines that merely share a passage are seldom compared. Lines of SHORT_WORDS[0] to SHORT_WORDS[1]
-words, of which few runs survive an edit, have a block for each word besides: the line without it.
+features are runs of GRAM characters; a block's sample is the least of either half of the line, by hashes of its own, so that similar lines
+draw the same sample with a probability that follows from their similarity, whatever else they hold, and lines that share one passage
+only seldom do. What is drawn must stand at places that so few edits can bring about. Short lines, of which few runs survive an
+edit, have further blocks: lines of SHORT_WORDS[0] to SHORT_WORDS[1] words the line without each of its words, and lines of
+PARTED_WORDS[0] to PARTED_WORDS[1] words every choice of PARTS - 2 of their PARTS parts, of which two replaced words spare one.
 
 Lines that share a block form a cluster. ``clusters.connect_members`` links all pairs whose edit similarity
 (1 - Levenshtein distance / longer length) is SIMILARITY or more, as far as they connect something new, in tiles of bounded
@@ -27,6 +28,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +41,15 @@ from tidemark.session import Scratch, durable
 
 FULL_WORDS = 5
 SIMILARITY = 0.8
-#: Longer grams or larger samples make chance meetings fewer, more blocks find more; the README has the recall by length.
+#: Longer grams make chance meetings fewer, more blocks find more; a sample has one gram of each of SAMPLE equal parts of the line.
+#: The README has the recall by length.
 GRAM = 12
 SAMPLE = 2
 BLOCKS = 16
 SHORT_WORDS = (4, 10)
+PARTED_WORDS = (7, 12)
+PARTS = 4
+_CHOICES = list(combinations(range(PARTS), PARTS - 2))
 _WORD = re.compile(r"\w+")
 
 
@@ -135,11 +141,14 @@ class LineHasher:
         short = takes_part & (counts >= SHORT_WORDS[0]) & (counts <= SHORT_WORDS[1])
         own = np.repeat(short, counts)
         spared = _spared(placed[0][own], counts[short], keys[short, 0])
-        n_blocks = BLOCKS + np.where(short, counts, 0)
+        parted = takes_part & (counts >= PARTED_WORDS[0]) & (counts <= PARTED_WORDS[1])
+        n_blocks = BLOCKS + np.where(short, counts, 0) + np.where(parted, len(_CHOICES), 0)
         blocks = np.empty(n_blocks.sum(), np.uint64)
         begin = np.cumsum(n_blocks) - n_blocks
         blocks[(begin[:, None] + np.arange(BLOCKS)).ravel()] = sampled.ravel()
         blocks[(np.repeat(begin, counts) + BLOCKS + at)[own]] = spared
+        last = (begin + n_blocks)[parted] - len(_CHOICES)
+        blocks[(last[:, None] + np.arange(len(_CHOICES))).ravel()] = _chosen_parts(placed[0], first[parted], counts[parted])
         own = np.repeat(takes_part, n_blocks)
         return row[takes_part], (number - first_line[row])[takes_part], keys[takes_part], lengths[takes_part], n_blocks[takes_part], blocks[own].view(np.int64)
 
@@ -158,16 +167,17 @@ class LineHasher:
         short = end - begin < GRAM  # one gram
         grams[begin[short]] = _mix((sums[end[short]] - sums[begin[short]]) * self.up[end[short]], _SEEDS[0])
         grams = (grams >> np.uint64(32)).astype(np.uint32)
-        spans = np.stack([begin, np.maximum(begin + 1, end - GRAM + 1)], axis=1).ravel()
+        runs = np.maximum(1, end - begin - GRAM + 1)
+        spans = [np.stack([begin + runs * i // SAMPLE, begin + np.maximum(runs * i // SAMPLE + 1, runs * (i + 1) // SAMPLE)], axis=1).ravel() for i in range(SAMPLE)]
         rows = np.empty((len(_ORDERS), len(begin)), np.uint32)
         product, places = np.empty_like(grams), np.arange(len(grams), dtype=np.uint64)
         at = np.empty((BLOCKS, len(begin)), np.int64)
         for i, order in enumerate(_ORDERS):
             np.multiply(grams, order, out=product)
             if i % SAMPLE:
-                rows[i] = np.minimum.reduceat(product, spans)[::2]
+                rows[i] = np.minimum.reduceat(product, spans[i % SAMPLE])[::2]
             else:  # with its place
-                least = np.minimum.reduceat(product.astype(np.uint64) << np.uint64(32) | places, spans)[::2]
+                least = np.minimum.reduceat(product.astype(np.uint64) << np.uint64(32) | places, spans[0])[::2]
                 rows[i] = least >> np.uint64(32)
                 at[i // SAMPLE] = (least & np.uint64(0xFFFFFFFF)).astype(np.int64) - begin
         rows = rows.reshape(BLOCKS, SAMPLE, len(begin)).astype(np.uint64)
@@ -200,6 +210,15 @@ def _spared(placed: np.ndarray, counts: np.ndarray, wholes: np.ndarray) -> np.nd
     return _mix(before + after * back, _SEEDS[2]) | _NO_PLACE
 
 
+def _chosen_parts(placed: np.ndarray, first: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For every line the hashes of every choice of PARTS - 2 of its PARTS parts, by the words' hashes times their places."""
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(placed)))
+    bounds = first[:, None] + counts[:, None] * np.arange(PARTS + 1) // PARTS
+    parts = sums[bounds[:, 1:]] - sums[bounds[:, :-1]]
+    chosen = np.stack([parts[:, list(c)].sum(axis=1) + np.uint64(i + 1) * np.uint64(_BASE >> 8) for i, c in enumerate(_CHOICES)], axis=1)
+    return (_mix(chosen + counts[:, None].astype(np.uint64), _SEEDS[1]) | _NO_PLACE).ravel()
+
+
 LINE_TYPES = {"doc_id": pa.int64(), "th": pa.int64(), "line": pa.int32(), "key": pa.binary(), "size": pa.int32(), "blocks": pa.list_(pa.int64())}
 LINE_SCHEMA = "doc_id long, th long, line int, key binary, size int, blocks array<long>"
 
