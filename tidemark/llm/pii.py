@@ -1,31 +1,33 @@
 """Personal data: base patterns, and a character tagger for what is written otherwise.
 
 Base spans follow fixed patterns per kind, leftmost and non-overlapping; matches that fail their check are dropped.
-The patterns are run in time linear in the text. The tagger (pii_tagger) reads windows of WINDOW characters,
-STRIDE apart, wherever a text holds something that personal data of these kinds cannot do without: an @, a
-bracketed "at", or seven digits close together. Where a window's edge cuts a span that no other window shows whole, a window of
-twice the length is laid around it, and so on until it is whole. The spans of all windows are reconciled over the whole text: those that fail their kind's check or touch a base span go, and
-of those that overlap the set with the greatest total score stays. Base spans always stay.
+The patterns are run in time linear in the text. The tagger (pii_tagger) reads every text whole, in windows of WINDOW characters,
+STRIDE apart. Where a window's edge cuts a span that no other window shows whole, a window of twice the length is laid around
+it, and so on until it is whole. The spans of all windows are reconciled over the whole text: those with a lead below MIN_LEAD, that fail
+their kind's check on digits or marks, or that touch a base span go, and of those that overlap the set with the greatest total score
+stays. Base spans always stay.
 
 ``spans`` and ``base_sha256`` list kind:start:end, by kind as listed, then start, in code points, end exclusive.
 Counts are those of base spans; ``n_method`` counts the tagger's.
 
-Defined results: a null text is empty; repeated rows each give a row; other columns are ignored; an empty table
-gives no rows. One pass over the texts, no shuffle; the model is of fixed size and is trained by the driver.
+Defined results: a null or empty text has no spans; a text may have any length, as windows are tagged TOGETHER at a time and
+spans are reconciled in time proportional to their number, but for sorting; repeated rows each give a row; other columns are
+ignored; an empty table gives no rows. One pass over the texts, no shuffle; the model is of fixed size and is trained by the driver.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.pii_tagger import KINDS, STRIDE, WINDOW, Tagger, default_tagger, encode, luhn, spans_of
+from tidemark.llm.pii_tagger import KINDS, STRIDE, TOGETHER, WINDOW, Tagger, default_tagger, encode, luhn, spans_of
 from tidemark.llm.texts import map_batches, to_batch
 
 Span = tuple[int, int, str]
@@ -36,16 +38,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_NUMBERS = re.compile(r"[0-9](?:[ ().\-]{0,3}[0-9]){6,}+")
-_AT = re.compile(r"@|[\[(]at[\])]")
-#: What a span must look like in order to be added, and the least log odds against "none" that the tagger must give it.
-_CHECKS = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+"),
-    "ip": re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"),
-    "card": re.compile(r"[0-9]{4}(?:[ .-][0-9]{3,6}){2,3}[0-9]{0,3}"),
-    "phone": re.compile(r"\+?(?:[0-9]{1,3}[ .-])?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}"),
-}
+#: The least log odds against "none" that the tagger must give a span.
 MIN_LEAD = 3.0
+_AT, _DOT = re.compile(r"@|\bat\b", re.IGNORECASE), re.compile(r"\.|\bdot\b", re.IGNORECASE)
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -74,31 +69,29 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def window_starts(text: str) -> list[int]:
-    """Where windows are laid: over every anchor and a stride around it."""
-    starts: set[int] = set()
-    anchors = [m.span() for m in _NUMBERS.finditer(text)]
-    if "@" in text or "at)" in text or "at]" in text:
-        anchors += [m.span() for m in _AT.finditer(text)]
-    for start, end in anchors:
-        starts.update(range(max(0, (start - STRIDE) // STRIDE), end // STRIDE + 1))
-    return [s * STRIDE for s in sorted(starts)]
-
-
 def valid(kind: str, value: str) -> bool:
-    if not _CHECKS[kind].fullmatch(value):
-        return False
-    digits = re.sub("[^0-9]", "", value)
+    """What holds for the base patterns' values too, however they are written: numbers of digits, their sums and ranges, an address's two marks."""
+    groups = re.findall("[0-9]+", value)
+    digits = "".join(groups)
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits)
     if kind == "phone":
         return 9 <= len(digits) <= 15
-    return kind != "ip" or all(int(x) <= 255 for x in value.split("."))
+    if kind == "ip":
+        return len(groups) == 4 and all(len(x) <= 3 and int(x) <= 255 for x in groups)
+    return bool(_AT.search(value)) and bool(_DOT.search(value))
 
 
 def reconcile(found: dict[Span, float], base: list[Span]) -> list[Span]:
     """Of spans that touch no base span, the non-overlapping set of greatest total score."""
-    free = sorted((s for s in found if not any(s[0] < b[1] and b[0] < s[1] for b in base)), key=lambda s: (s[1], s[0]))
+    taken = sorted((s, e) for s, e, _ in base)
+    reach = list(accumulate((e for _, e in taken), max))  # the furthest end of all base spans up to here
+
+    def touched(start: int, end: int) -> bool:
+        before = bisect_left(taken, (end,))
+        return before > 0 and reach[before - 1] > start
+
+    free = sorted((s for s in found if not touched(s[0], s[1])), key=lambda s: (s[1], s[0]))
     ends = [s[1] for s in free]
     best, take = [0.0], []
     for i, span in enumerate(free):
@@ -117,39 +110,41 @@ def reconcile(found: dict[Span, float], base: list[Span]) -> list[Span]:
 
 def tag_texts(tagger: Tagger, texts: list[str]) -> list[dict[Span, float]]:
     """For each text, the valid spans that its windows show whole, with their scores."""
-    places = [(i, start) for i, text in enumerate(texts) for start in window_starts(text)]
+    classes = [encode(text) for text in texts]
+    places = [(i, start) for i, text in enumerate(texts) for start in range(0, max(1, len(text) - (WINDOW - STRIDE)), STRIDE) if text]
+    places.sort(key=lambda p: min(WINDOW, len(texts[p[0]]) - p[1]))  # windows of about one length are tagged together
     out: list[dict[Span, float]] = [{} for _ in texts]
     size = WINDOW
     while places:
-        cut = _tag_windows(tagger, texts, places, size, out)
+        cut = _tag_windows(tagger, texts, classes, places, size, out)
         size *= 2
         step = size // 4
         places = sorted({(i, max(0, (start + end) // 2 - size // 2) // step * step) for i, start, end in cut if not any(s <= start and end <= e for s, e, _ in out[i])})
     return out
 
 
-def _tag_windows(tagger: Tagger, texts: list[str], places: list[tuple[int, int]], size: int, out: list[dict[Span, float]]) -> list[tuple[int, int, int]]:
+def _tag_windows(tagger: Tagger, texts: list[str], classes: list[np.ndarray], places: list[tuple[int, int]], size: int, out: list[dict[Span, float]]) -> list[tuple[int, int, int]]:
     """Adds what the windows of this size show whole, and returns (text, start, end) of what their edges cut."""
     cuts = []
-    columns = max(1, 1024 * WINDOW // size)
-    for at in range(0, len(places), columns):
-        some = places[at : at + columns]
-        x = np.zeros((size, len(some)), np.int64)
+    at_once = max(1, TOGETHER * WINDOW // size)
+    for at in range(0, len(places), at_once):
+        some = places[at : at + at_once]
+        x = np.zeros((max(min(size, len(texts[i]) - start) for i, start in some), len(some)), np.int64)
         for column, (i, start) in enumerate(some):
-            own = encode(texts[i][start : start + size])
+            own = classes[i][start : start + size]
             x[: len(own), column] = own
-        paths, leads = tagger.decode(x)
-        for column in np.flatnonzero(paths.any(axis=0)).tolist():
-            i, offset = some[column]
+        columns, paths, leads = tagger.decode(x)
+        for place in np.flatnonzero(paths.any(axis=0)).tolist():
+            i, offset = some[columns[place]]
             text = texts[i]
-            for start, end, kind in spans_of(paths[:, column].tolist()):
+            for start, end, kind in spans_of(paths[:, place].tolist()):
                 end = min(end, len(text) - offset)
                 if end <= start:
                     continue
                 if (start == 0 and offset > 0) or (end == size and offset + size < len(text)):
                     cuts.append((i, offset + start, offset + end))
                     continue
-                lead = float(leads[start : end + 1, column].sum())
+                lead = float(leads[start : end + 1, place].sum())
                 if lead >= MIN_LEAD and valid(kind, text[offset + start : offset + end]):
                     span = (offset + start, offset + end, kind)
                     out[i][span] = max(lead, out[i].get(span, 0.0))
