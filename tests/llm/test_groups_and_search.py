@@ -366,6 +366,40 @@ def test_recall_of_the_search(spark):
     assert len(got) == len(expected) and sum(h is not None for h in hits) / len(hits) >= 0.9
 
 
+@pytest.mark.parametrize("length", [768, 1536])
+def test_recall_at_usual_lengths(spark, length):
+    """Vectors around centres, as embeddings of copies are; the driver's part must stay small."""
+    import tracemalloc
+
+    rng = np.random.default_rng(length)
+    centres = rng.standard_normal((60, length))
+    vectors = (centres[rng.integers(0, 60, 900)] + 0.7 * rng.standard_normal((900, length))).astype(np.float32)
+    tracemalloc.start()
+    ann_search.fit_plan(vectors.astype(np.float64))
+    assert tracemalloc.get_traced_memory()[1] < 600 << 20
+    tracemalloc.stop()
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+    got = ann_search.nearest(table, F.col("vec_id") % 50 == 0).collect()
+    units = ann_search.units_of(vectors.astype(np.float64))
+    hits = 0
+    for q in range(0, 900, 50):
+        cosines = units @ units[q]
+        cosines[q] = -2
+        hits += len({r.vec_id for r in got if r.query_id == q} & set(np.argsort(-cosines)[:5].tolist()))
+    assert hits >= 0.9 * 5 * 18
+
+
+def test_probes_are_the_best_sums():
+    rng = np.random.default_rng(3)
+    units = ann_search.units_of(rng.standard_normal((6, 16)))
+    plan = ann_search.Plan(16, 2, 1)
+    first, second = plan.nearness(units, 0)
+    whole = (first[:, :, None] + second[:, None, :]).reshape(6, -1)
+    for n in (1, 7, 100, 1024):
+        got = plan.probed(units, 0, n)
+        assert np.allclose(np.take_along_axis(whole, got, 1), -np.sort(-whole, axis=1)[:, :n]) and all(len(set(r)) == n for r in got.tolist())
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(2).standard_normal((4, 16))
     assert np.allclose(np.linalg.norm(ann_search.hadamard(x), axis=1), np.linalg.norm(x, axis=1))

@@ -10,7 +10,7 @@ original vectors, inside the tile; a tile returns only a query's best K.
 How many functions and probes are needed depends on the data. They are fitted on at most SAMPLE_VECTORS indexed vectors
 (chosen by hash) and SAMPLE_QUERIES of them as queries: the plan that compares fewest vectors among those that
 find TARGET_RECALL of the sample's exact neighbours. Neighbours only get nearer as rows are added, so
-recall on all rows is no lower. Vectors with near neighbours need few probes; for vectors without structure
+recall on all rows is no lower. Memory for fitting and probing grows with the vectors' length, not with its square. Vectors with near neighbours need few probes; for vectors without structure
 every method has to compare a large part. A query for which fewer than K rows are found is searched again over all
 buckets.
 
@@ -18,7 +18,8 @@ Equal vectors are indexed once, with their K + 1 smallest ids, which is all that
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, neither
 as rows nor as queries; vectors meet only those of the same length; equal scores go to the smaller id; rows that repeat id and
-vector count once, and no row with the query's id is its own neighbour; a null id takes no part; other columns are ignored.
+vector count once, and no row with the query's id is its own neighbour; a null id takes no part; other columns are ignored; an empty table gives no
+rows. A vector may have any length that a row can hold.
 """
 
 from __future__ import annotations
@@ -82,20 +83,31 @@ class Plan:
         return out
 
     def probed(self, units: np.ndarray, table: int, probes: int | None = None) -> np.ndarray:
-        """The buckets that each query probes, nearest first."""
+        """The buckets that each query probes, nearest first.
+
+        With two functions a bucket's nearness is a sum. The i-th best axis of one and the j-th best of the other are among the n
+        best sums only if (i + 1) * (j + 1) <= n, so n ln n sums are looked at, however many buckets there are.
+        """
+        n = min(probes or self.probes, self.all_buckets)
         near = self.nearness(units, table)
-        total = near[0]
-        for more in near[1:]:
-            total = (total[:, :, None] + more[:, None, :]).reshape(len(units), -1)
-        n = min(probes or self.probes, total.shape[1])
-        some = np.argpartition(-total, n - 1, axis=1)[:, :n]
-        return np.take_along_axis(some, np.argsort(-np.take_along_axis(total, some, 1), axis=1, kind="stable"), 1)
+        orders = [_best_axes(x, min(n, x.shape[1])) for x in near]
+        if len(near) == 1:
+            return orders[0]
+        first, second = (np.take_along_axis(x, o, 1) for x, o in zip(near, orders))
+        i, j = np.nonzero(np.outer(np.arange(1, first.shape[1] + 1), np.arange(1, second.shape[1] + 1)) <= n)
+        chosen = _best_axes(first[:, i] + second[:, j], min(n, len(i)))
+        return np.take_along_axis(orders[0], i[chosen], 1) * near[1].shape[1] + np.take_along_axis(orders[1], j[chosen], 1)
 
     @property
     def all_buckets(self) -> int:
         return (2 << max(1, (self.length - 1).bit_length())) ** self.functions
 
 
+def _best_axes(near: np.ndarray, n: int) -> np.ndarray:
+    some = np.argpartition(-near, n - 1, axis=1)[:, :n]
+    return np.take_along_axis(some, np.argsort(-np.take_along_axis(near, some, 1), axis=1, kind="stable"), 1)
+
+
 def units_of(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
@@ -122,8 +134,9 @@ def fit_plan(vectors: np.ndarray) -> Plan:
             probed = plan.probed(units[queries], table, most)
             match = probed[:, None, :] == own[truth][:, :, None]
             rank = np.minimum(rank, np.where(match.any(axis=2), match.argmax(axis=2), most))
-            sizes = np.bincount(own, minlength=plan.all_buckets)
-            shares += np.cumsum(sizes[probed], axis=1).mean(axis=0) / len(units)
+            held, sizes = np.unique(own, return_counts=True)
+            place = np.minimum(np.searchsorted(held, probed), len(held) - 1)
+            shares[: probed.shape[1]] += np.cumsum(np.where(held[place] == probed, sizes[place], 0), axis=1).mean(axis=0) / len(units)
         recall = np.array([(rank < n).mean() for n in range(1, most + 1)])
         enough = np.flatnonzero(recall >= TARGET_RECALL)
         if len(enough) and shares[enough[0]] < least * TABLES:
@@ -164,7 +177,7 @@ def _index_batches(plan: Plan, numbers: type):
     return work
 
 
-def _query_batches(plan: Plan, numbers: type, everywhere: bool):
+def _query_batches(plan: Plan, numbers: type):
     types = {"table": pa.int32(), "bucket": pa.int64(), "ids": pa.list_(pa.int64()), "vec": pa.binary()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,12 +186,9 @@ def _query_batches(plan: Plan, numbers: type, everywhere: bool):
                 continue
             vectors, ids = _matrix(batch.column("vector")), batch.column("vec_id").to_pylist()
             units, packed = units_of(vectors), [v.tobytes() for v in vectors.astype(numbers)]
-            for table in range(1 if everywhere else TABLES):
+            for table in range(TABLES):
                 for at in range(0, len(units), 64):  # few at a time, as each query becomes many rows
-                    if everywhere:
-                        probed = np.tile(np.arange(plan.all_buckets), (len(units[at : at + 64]), 1))
-                    else:
-                        probed = plan.probed(units[at : at + 64], table)
+                    probed = plan.probed(units[at : at + 64], table)
                     n = probed.shape[1]
                     own = range(at, min(at + 64, len(units)))
                     columns = {"ids": [[ids[i]] for i in own for _ in range(n)], "vec": [packed[i] for i in own for _ in range(n)]}
@@ -245,7 +255,6 @@ def _tile_batches(numbers: type):
 def _search(index: DataFrame, queries: DataFrame, numbers: type) -> DataFrame:
     """(query_id, vec_id, score): the nearest rows that tiles have found."""
     sizes = index.groupBy("table", "bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    sizes = F.broadcast(sizes)  # TABLES x (2 x length)^functions rows at most
     tile = F.xxhash64("table", "bucket", "block").alias("tile")
     block = F.pmod(F.xxhash64("vec"), F.col("blocks")).cast("int").alias("block")
     stored = index.join(sizes, ["table", "bucket"]).select("table", "bucket", block, "ids", "vec", F.lit(False).alias("is_query"))
@@ -277,11 +286,12 @@ def nearest(embeddings: DataFrame, query: object, vector: str = "embedding") ->
         plan = fit_plan(sample[np.random.default_rng(7).permutation(len(sample))])
         index = map_batches(distinct_vectors(own), _index_batches(plan, numbers), schema)
         asked = own.filter(query).distinct()
-        found = durable(_ranked(_search(index, map_batches(asked, _query_batches(plan, numbers, False), schema), numbers)))
+        found = durable(_ranked(_search(index, map_batches(asked, _query_batches(plan, numbers), schema), numbers)))
         full = found.groupBy("query_id").agg(F.count("*").alias("k")).filter(F.col("k") >= min(K, row["ids"] - 1)).select(F.col("query_id").alias("vec_id"))
         short = asked.join(full, "vec_id", "left_anti")
         if row["ids"] > 1 and not short.isEmpty():
-            again = _search(index.filter(F.col("table") == 0), map_batches(short, _query_batches(plan, numbers, True), schema), numbers)
+            whole = index.filter(F.col("table") == 0).withColumn("bucket", F.lit(0).cast("long"))  # one bucket of all rows, in blocks
+            again = _search(whole, map_batches(short, _query_batches(Plan(length, 1, 1), numbers), schema).filter("table = 0").withColumn("bucket", F.lit(0).cast("long")), numbers)
             found = _ranked(found.drop("rank").unionByName(again))
         out = out.unionByName(found.select(*out.columns))
     return out.select("query_id", "rank", "vec_id", "score")
