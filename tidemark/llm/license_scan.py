@@ -6,11 +6,12 @@ detection that lies within another of higher priority (or of the same priority a
 suppressed. Detections that merely overlap both stay. Base phrases, whose words stand consecutively, are found
 by their own rules and are never suppressed.
 
-The rules come from the tables below: for each license its names, SPDX identifiers, addresses and header
-sentences, written by hand, in several hundred expressions.
+The rules come from the tables below, written by hand: for each license its names, SPDX identifiers and addresses, sentences of
+its text, and expressions for what people write instead: ranges of versions, "or later", exceptions, abbreviated and reordered notices.
 
 Defined results: a null text is empty; without words there is no detection; repeated rows each give a row; other
-columns are ignored. One pass over the texts, no shuffle.
+columns are ignored; an empty table gives no rows. A text may have any length and any number of detections: each expression runs
+over it once, gaps between words are matched without going back, and suppression sorts. One pass over the texts, no shuffle.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -165,6 +167,85 @@ apache: terms of the apache license
 """
 
 
+#: label: priority: keyword: expression. A space stands for what lies between words; the keyword is part of every match.
+EXPRESSIONS = """
+gpl-2.0-or-later: 75: later: (?:gnu )?(?:general public license|gpl)(?: (?:version|v))? ?v?2(?: 0)?(?: or)?(?: at your option)?(?: any)? later(?: versions?)?
+gpl-3.0-or-later: 75: later: (?:gnu )?(?:general public license|gpl)(?: (?:version|v))? ?v?3(?: 0)?(?: or)?(?: at your option)?(?: any)? later(?: versions?)?
+lgpl-2.1-or-later: 75: later: (?:gnu )?(?:lesser general public license|lgpl)(?: (?:version|v))? ?v?2 1(?: or)?(?: at your option)?(?: any)? later(?: versions?)?
+lgpl-3.0-or-later: 75: later: (?:gnu )?(?:lesser general public license|lgpl)(?: (?:version|v))? ?v?3(?: 0)?(?: or)?(?: at your option)?(?: any)? later(?: versions?)?
+agpl-3.0-or-later: 75: later: (?:gnu )?(?:affero general public license|agpl)(?: (?:version|v))? ?v?3(?: 0)?(?: or)?(?: at your option)?(?: any)? later(?: versions?)?
+gpl-2.0-only: 75: only: (?:gnu )?(?:general public license|gpl)(?: (?:version|v))? ?v?2(?: 0)? only
+gpl-3.0-only: 75: only: (?:gnu )?(?:general public license|gpl)(?: (?:version|v))? ?v?3(?: 0)? only
+lgpl-2.1-only: 75: only: (?:gnu )?(?:lesser general public license|lgpl)(?: (?:version|v))? ?v?2 1 only
+gpl-2.0-or-later: 75: either version 2: general public license as published by the free software foundation either version 2(?: 0)? of the license or at your option any later version
+gpl-3.0-or-later: 75: either version 3: general public license as published by the free software foundation either version 3(?: 0)? of the license or at your option any later version
+lgpl-2.1-or-later: 75: either version 2.1: lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version
+agpl-3.0-or-later: 75: affero: affero general public license as published by the free software foundation either version 3(?: 0)? of the license or at your option any later version
+classpath-exception: 78: classpath: (?:with(?: the)? )?(?:gnu )?classpath(?: linking)? exceptions?
+gcc-exception: 78: gcc: (?:with(?: the)? )?gcc runtime library exceptions?
+autoconf-exception: 78: autoconf: (?:with(?: the)? )?autoconf(?: macro| configure script)? exceptions?
+bison-exception: 78: bison: (?:with(?: the)? )?bison(?: parser)? exceptions?
+font-exception: 78: font: (?:with(?: the)? )?(?:gpl )?font(?: embedding)? exceptions?
+openssl-exception: 78: openssl: (?:with(?: the| an)? )?openssl(?: linking)? exceptions?
+llvm-exception: 78: llvm: (?:apache license(?: version)? ?v?2 0 )?with llvm exceptions?
+linking-exception: 78: linking: (?:with (?:a |the )?)?(?:special |static )?linking exceptions?
+syscall-note: 78: syscall: (?:with )?linux syscall note
+apache-2.0: 74: apache: (?:licensed|released|distributed|available|published) under(?: the)?(?: terms of(?: the)?)? apache(?: software)?(?: licen[sc]e)?(?: (?:version|v))? ?v?2(?: 0)?
+apache-2.0: 62: limitations: see the license for the specific language governing permissions and limitations under the license
+apache-2.0: 62: warranties or conditions: distributed on an as is basis without warranties or conditions of any kind
+apache: 55: apache: apache(?: style| like| type) licen[sc]es?
+mit: 74: mit: (?:licensed|released|distributed|available|published|covered) (?:under|by)(?: the)?(?: terms of(?: the)?)?(?: permissive)? mit(?: x11)? licen[sc]e
+mit: 74: mit: mit(?: x11| expat)? licen[sc]ed?
+mit: 55: mit: mit(?: style| like| type) licen[sc]es?
+mit: 62: noninfringement: warranties of merchantability fitness for a particular purpose and noninfringement
+mit: 62: substantial: above copyright notice and this permission notice shall be included in all copies or substantial portions
+mit: 62: liable: in no event shall the authors or copyright holders be liable for any claim damages or other liability
+mit-or-apache-2.0: 79: apache: (?:dual(?:ly)? )?licen[sc]ed? under (?:either (?:of )?)?(?:the )?(?:mit (?:licen[sc]e )?(?:or|and)(?: the)? apache|apache(?: licen[sc]e)?(?: (?:version|v))?(?: ?v?2(?: 0)?)? (?:or|and)(?: the)? mit)(?: licen[sc]e)?
+bsd-2-clause: 74: bsd: (?:bsd )?(?:2|two) clause(?: bsd)?(?: licen[sc]e)?|bsd 2
+bsd-3-clause: 74: bsd: (?:3|three) clause bsd(?: licen[sc]e)?|bsd (?:3|three) clause(?: licen[sc]e)?|bsd 3
+bsd: 72: bsd: (?:licensed|released|distributed|available|published) under(?: the| a)?(?: terms of(?: the)?)?(?: permissive)? bsd(?: style)?(?: licen[sc]e)?
+bsd: 55: bsd: bsd(?: style| like| type| licen[sc]ed?)+
+bsd: 62: redistributions: redistributions (?:of source code must retain|in binary form must reproduce) the above copyright notice
+bsd: 62: contributors: this software is provided by the (?:copyright holders? and contributors|regents and contributors|authors?) as is
+isc: 74: isc: (?:licensed|released|distributed) under(?: the)?(?: terms of(?: the)?)? isc(?: licen[sc]e)?
+mpl-2.0: 74: mozilla: (?:licensed|released|distributed|available) under(?: the)?(?: terms of(?: the)?)? (?:mozilla public licen[sc]e|mozilla)(?: (?:version|v))? ?v?2(?: 0)?
+mpl-2.0: 62: mpl was not: if a copy of the mpl was not distributed with this file
+epl-2.0: 74: eclipse: eclipse public licen[sc]e(?: (?:version|v))? ?v?2(?: 0)?
+epl-1.0: 74: eclipse: eclipse public licen[sc]e(?: (?:version|v))? ?v?1(?: 0)?
+gpl: 72: gpl: (?:licensed|released|distributed|available|published|covered) (?:under|by)(?: the)?(?: terms of(?: the)?)?(?: gnu)? gpl
+gpl: 55: gpl: gpl(?: compatible| licen[sc]ed?)
+lgpl: 55: lgpl: (?:gnu )?lgpl(?: licen[sc]ed?)?
+agpl: 55: agpl: (?:gnu )?agpl(?: licen[sc]ed?)?
+gfdl: 74: documentation: permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[sc]e
+cc-by: 74: creative commons: creative commons attribution(?: ?(?:1|2|2 5|3|4) 0)?(?: international| unported| generic)?(?: public)? licen[sc]e
+cc-by-sa: 74: creative commons: creative commons attribution share ?alike(?: ?(?:1|2|2 5|3|4) 0)?(?: international| unported| generic)?(?: public)?(?: licen[sc]e)?
+cc-by-nc: 74: creative commons: creative commons attribution non ?commercial(?: ?(?:1|2|2 5|3|4) 0)?(?: international| unported| generic)?(?: public)?(?: licen[sc]e)?
+cc-by-nd: 74: creative commons: creative commons attribution no ?deriv(?:ative|ative works?|atives|s)?(?: ?(?:1|2|2 5|3|4) 0)?(?: international| unported| generic)?(?: public)?(?: licen[sc]e)?
+cc-by-nc-sa: 76: creative commons: creative commons attribution non ?commercial share ?alike(?: ?(?:1|2|2 5|3|4) 0)?(?: international| unported| generic)?(?: public)?(?: licen[sc]e)?
+cc-by-nc-nd: 76: creative commons: creative commons attribution non ?commercial no ?deriv(?:ative|ative works?|atives|s)?(?: ?(?:1|2|2 5|3|4) 0)?(?: international| unported| generic)?(?: public)?(?: licen[sc]e)?
+cc0: 72: cc0: (?:licensed|released|available|dedicated|marked) (?:under|with|to)(?: the)? cc0(?: 1 0)?(?: universal)?
+public-domain: 62: public domain: (?:is |are |been )?(?:placed|put|dedicated|released|donated|given) (?:in|to|into) the public domain
+public-domain: 62: public domain: (?:author|authors|i|we) (?:hereby )?(?:disclaims?|waives?|abandons?) (?:all )?copyrights?(?: to this (?:source code|software|work))?(?: and (?:release|place)s? it (?:in|to|into) the public domain)
+unlicense: 74: unlicense: (?:licensed|released|distributed) under(?: the)?(?: terms of(?: the)?)? unlicense
+wtfpl: 74: wtfpl: (?:licensed|released|distributed) under(?: the)?(?: terms of(?: the)?)? wtfpl(?: (?:version|v))?(?: ?v?2)?
+boost: 74: boost: (?:licensed|released|distributed) under(?: the)?(?: terms of(?: the)?)? boost software licen[sc]e
+zlib: 74: zlib: (?:licensed|released|distributed) under(?: the)?(?: terms of(?: the)?)? zlib(?: libpng)?(?: licen[sc]e)?
+zlib: 62: altered: altered source versions must be plainly marked as such
+ofl-1.1: 74: open font: (?:this font software is )?licensed under the sil open font licen[sc]e(?: (?:version|v))?(?: ?v?1 1)?
+artistic: 74: artistic: licensed under(?: the)?(?: terms of(?: the)?)? artistic licen[sc]e
+perl: 72: perl: (?:under )?(?:the )?same terms as perl(?: 5)?(?: itself)?
+python-2.0: 72: python: (?:licensed|released|distributed) under(?: the)?(?: terms of(?: the)?)? python(?: software foundation)? licen[sc]e
+proprietary: 58: proprietary: (?:confidential and proprietary|proprietary and confidential|proprietary licen[sc]e)
+proprietary: 58: redistribution: (?:no|without) redistribution(?: is)?(?: permitted| allowed)?
+commercial: 58: commercial: commercial licen[sc]e(?: agreement)?
+non-commercial: 58: non: for (?:research|academic|educational|personal)(?: and (?:research|academic|educational|personal))?(?: or)? non ?commercial (?:use|purposes?) only
+see-license: 52: licen: (?:see|refer to) (?:the )?(?:accompanying |included |file )?licen[sc]e(?: (?:txt|md|file))? for (?:the )?(?:full )?(?:details|licen[sc]e|text|terms|information|more information)
+openrail: 74: openrail: (?:creativeml )?openrail(?: m| plus plus| pp)?(?: licen[sc]e)?
+llama: 74: llama: (?:meta )?llama(?: 2| 3| 3 1)? community licen[sc]e(?: agreement)?
+gemma: 74: gemma: gemma terms of use
+"""
+
+
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -190,6 +271,11 @@ def _phrase(words: str) -> str:
     return rf"(?<!{WORD}){out}(?!{WORD})"
 
 
+def _expression(words: str) -> str:
+    """A hand-written expression whose spaces stand for what lies between words."""
+    return rf"(?<!{WORD})(?:{words.replace(' ?', GAP[:-1] + '*+').replace(' ', GAP + '+')})(?!{WORD})"
+
+
 def _keyword(words: str) -> str:
     """The longest word, which every match holds as it stands."""
     return max((part for word in words.split() if word != "#" for part in word.split(".")), key=len)
@@ -212,6 +298,9 @@ def rules() -> tuple[Rule, ...]:
     for line in NOTICES.strip().splitlines():
         label, _, text = line.partition(": ")
         found.append(Rule(label, 60 if len(text.split()) > 6 else 50, _keyword(text), _phrase(text), 0.85 if len(text.split()) > 6 else 0.7))
+    for line in EXPRESSIONS.strip().splitlines():
+        label, priority, keyword, pattern = line.split(": ", 3)
+        found.append(Rule(label, int(priority), keyword.split()[0], _expression(pattern), 0.9 if int(priority) >= 70 else 0.7))
     return tuple(sorted(found, key=lambda r: -r.priority))
 
 
@@ -226,12 +315,26 @@ class Detection:
 
 
 def suppress(found: list[Detection]) -> list[Detection]:
-    """Without those that lie within one of higher priority, or of the same priority and greater length."""
-    kept: list[Detection] = []
-    for d in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.start, d.label)):
-        if not any(k.start <= d.start and d.end <= k.end and (k.priority, k.end - k.start) > (d.priority, d.end - d.start) for k in kept):
-            kept.append(d)
-    return kept
+    """Without those that lie within one of higher priority, or of the same priority and greater length, in the order of priority and place.
+
+    Detections are sorted by start; one lies within another if the furthest end of those that start no later reaches its own.
+    """
+    order = sorted(found, key=lambda d: (-d.priority, d.start, -d.end, d.label))
+    if len(order) < 2:
+        return order
+    starts, ends, priorities = (np.array([getattr(d, name) for d in order]) for name in ("start", "end", "priority"))
+    gone = np.zeros(len(order), bool)
+    above: list[tuple[np.ndarray, np.ndarray]] = []
+    for own in np.split(np.arange(len(order)), np.flatnonzero(np.diff(priorities)) + 1):
+        s, e = starts[own], ends[own]
+        reach = np.maximum.accumulate(e)
+        first = np.maximum.accumulate(np.where(np.diff(s, prepend=-1).astype(bool) | np.diff(e, prepend=-1).astype(bool), np.arange(len(own)), 0))  # of equal places
+        gone[own] = (first > 0) & (reach[first - 1] >= e)
+        for higher_starts, higher_reach in above:
+            at = np.searchsorted(higher_starts, s, side="right") - 1
+            gone[own] |= (at >= 0) & (higher_reach[at] >= e)
+        above.append((s, reach))
+    return [d for d, lost in zip(order, gone.tolist()) if not lost]
 
 
 class Scanner:
