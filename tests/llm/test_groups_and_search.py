@@ -317,6 +317,44 @@ def test_clean_documents_with_the_id_of_a_leaking_one_stay(spark):
     assert sorted((r.doc_id or 0, r.text or "") for r in kept) == sorted([(0, clean[0]), (0, ""), (1, clean[1]), (2, clean[2])])
 
 
+def test_leaks_against_alignments_of_all_pairs(spark):
+    """Every item aligned with every document, without seeds; edits from one word in twelve to one in four."""
+    rng = random.Random(21)
+    items = [(i, " ".join(words(rng, rng.randint(8, 40)))) for i in range(25)] + [(25, "one two three"), (26, "alpha beta gamma delta"), (27, "solo"), (28, "two words"), (None, "Null id stands here for once")]
+    rows = []
+    for d in range(150):
+        text = words(rng, rng.randint(0, 80))
+        if d % 2:
+            copy = rng.choice(items[:25])[1].split()
+            for at in range(len(copy)):
+                if rng.random() < rng.choice([1 / 12, 1 / 6, 1 / 4]):
+                    copy[at : at + 1] = rng.choice([[], ["changed"], ["two", "more"]])
+            at = rng.randint(0, len(text))
+            text[at:at] = copy
+        rows.append((d, " ".join(text)))
+    rows += [(200, "here are one two three"), (201, "one two, Three!"), (202, "alpha beta then gamma delta"), (203, "Solo."), (204, "solo act"), (205, "two words"), (206, None), (207, ""), (208, "null id stands here for once"), (209, items[0][1] + " x" * 30_000)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("node", F.lit(1))
+    docs = docs_of(spark, rows)
+    for name in ("_id", "_th", "th", "item_id", "score"):
+        docs = docs.withColumn(name, F.lit("x"))
+    got = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    numbers: dict[str, int] = {}
+    ids = {k: np.array([numbers.setdefault(w, len(numbers)) for w in decontaminate.words_of(t)], np.int64) for k, t in [*(("i", x) for x in items), *(("d", x) for x in rows)] for k, t in [((k, t[0]), t[1])]}
+    expected = {}
+    for i, _ in items:
+        for d, _ in rows:
+            item, doc = ids["i", i], ids["d", d]
+            if len(item) < 3:
+                score = float(item.tolist() == doc.tolist())
+            else:
+                score = decontaminate.align(item, doc)[0] if len(doc) else 0.0
+            if score >= (0.5 if len(item) >= 5 else 1.0):
+                expected[d, i] = score
+    assert set(got) <= set(expected) and len(expected) > 50
+    assert len(got) >= 0.95 * len(expected) and all(abs(got[k] - expected[k]) < 0.1 for k in got)
+    assert {(200, 25), (201, 25), (203, 27), (205, 28), (208, None)} <= set(got) and not {(202, 26), (204, 27)} & set(got)
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = {tuple(r) for r in decontaminate.find_leaks(docs, bench).collect()}

@@ -1,6 +1,6 @@
 """Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them.
 
-Words are lower-cased runs of word characters. Test items of MIN_WORDS words or more are taken in blocks of
+Words are lower-cased runs of word characters. Test items are taken in blocks of
 BLOCK_WORDS words, each block's vocabulary and n-grams being dealt to all tasks, and each block meets all
 documents; so the benchmark may have any size and nothing of unproven size is broadcast. One pass over the
 texts cuts out, for every document, the passages where an item has enough n-grams of SEED_WORDS words close together.
@@ -9,14 +9,16 @@ passage with enough seeds counts. It is aligned, unless so few of the item's wor
 match +2, mismatch and gap -1; the score is the best local alignment over that of the item with itself.
 
 Result: (doc_id, item_id, score, first_word, last_word) for every document and item with a score of MIN_SCORE or
-more; a document's best passage counts. Defined results: null and short texts and items match nothing; repeated
-rows each give theirs; items with equal texts each match; a null item_id is kept as null; other columns are
-ignored; an empty table gives no rows.
+more; a document's best passage counts. Items of fewer than MIN_WORDS words must stand word for word, and those of fewer than
+SEED_WORDS words, which are no passage, must be all that a document says. Defined results: null texts and items, and those without words, match
+nothing; repeated rows each give theirs; items with equal texts each match; a null item_id is kept as null; other columns are
+ignored, whatever their names; a text may have any length; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,15 +56,21 @@ class Block:
         pairs = sorted((g, i) for i, grams in enumerate(self.of_item) for g in grams.tolist())
         self.items = np.array([i for _, i in pairs], np.int64)
         self.starts = np.searchsorted(np.array([g for g, _ in pairs], np.int64), np.arange(len(self.grams) + 1))
+        self.exact = [len(words) < MIN_WORDS for words in self.words]
+        #: Items that are too short for an n-gram, by their words.
+        self.whole: dict[tuple[int, ...], list[int]] = {}
+        for i, words in enumerate(self.words):
+            if len(words) < SEED_WORDS:
+                self.whole.setdefault(tuple(words.tolist()), []).append(i)
         self.needed = np.array([min(MIN_SEEDS, max(1, len(g) // 4)) for g in self.of_item], np.int64)
 
     def keys(self, ids: np.ndarray) -> np.ndarray:
         """A number for each n-gram; negative where a word is not in the vocabulary."""
         n = len(self.vocabulary)
-        key = ids[: len(ids) - SEED_WORDS + 1].copy()
+        key = ids[: max(0, len(ids) - SEED_WORDS + 1)].copy()
         bad = key < 0
         for i in range(1, SEED_WORDS):
-            part = ids[i : len(ids) - SEED_WORDS + 1 + i]
+            part = ids[i : i + len(key)]
             bad |= part < 0
             key = key * n + part
         key[bad] = -1
@@ -143,8 +151,10 @@ def _alignments(block) -> object:
                     if not reachable(own.words[item], passage):
                         continue
                     score, first, last = align(own.words[item], passage)
-                    if score >= MIN_SCORE and score > best.get(item, (0.0,))[0]:
+                    if score >= (1.0 if own.exact[item] else MIN_SCORE) and score > best.get(item, (0.0,))[0]:
                         best[item] = (score, first + start, last + start)
+                if 0 < len(ids) < SEED_WORDS:
+                    best.update((item, (1.0, 0, len(ids) - 1)) for item in own.whole.get(tuple(ids.tolist()), ()))
                 for item, (score, first, last) in best.items():
                     for name, value in zip(types, (doc_id, th, own.ids[item], score, first, last)):
                         out[name].append(value)
@@ -159,7 +169,7 @@ def item_blocks(benchmark: DataFrame) -> Iterator[Block]:
     n = 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
         words = words_of(row["text"])
-        if len(words) < MIN_WORDS:
+        if not words:
             continue
         held.append((row["item_id"], words))
         n += len(words)
@@ -194,6 +204,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no test item, told apart by id and text."""
-    leaks = hashed_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    found = durable(leaks.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct())
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left_anti")
+    mark = f"_{uuid.uuid4().hex}"  # no column of docs has this name
+    leaks = hashed_leaks(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = durable(leaks.select(F.col("doc_id").alias(f"{mark}_id"), F.col("th").alias(f"{mark}_th")).distinct())
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col(f"{mark}_id")) & (F.xxhash64("text") == F.col(f"{mark}_th")), "left_anti")
