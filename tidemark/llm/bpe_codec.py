@@ -14,8 +14,8 @@ with one space, as the vocabulary file names no decoder.
 Defined results: a null or empty text has no tokens and decodes to the empty text; an empty table gives no rows; repeated rows
 each give a row; other columns are ignored. A text or a single word may have any length: states are kept by prefix for words of
 KEEP_CHARS or less only, longer ones are walked in sorted order with one stack of states, in time and memory linear in their
-length. A worker keeps at most CACHE_WORDS words with their tokens and starts afresh beyond that; longer words are encoded
-and not kept. Neither changes a result. No shuffle.
+length. A worker keeps about CACHE_WORDS words with their tokens, those it met last; longer words are encoded and not
+kept. Neither changes a result. No shuffle.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ import json
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -134,55 +133,34 @@ class TrieEncoder:
         own.reverse()
         return own
 
-    def encode_long(self, words: list[str]) -> dict[str, list[str]]:
-        """Tokens of long words: in sorted order a word follows those that it shares most with, so one stack of states is the trie's path."""
+    def encode_words(self, words: Iterable[str]) -> dict[str, list[str]]:
+        """Tokens of each distinct word (in byte symbols).
+
+        Sorted words are a trie's leaves in depth-first order: what a word shares with the one before is the path to the node
+        where they part. The stack holds the states along the path, so a shared prefix is walked once.
+        """
         found: dict[str, list[str]] = {}
         before, tokens, begins = "", [""], [0]
+        known = self.states.get
         for word in sorted(words):
-            shared = min(len(commonprefix((before, word))), len(word) - 1, len(tokens) - 1)
+            last = len(word) - 1
+            shared, most = 0, min(len(tokens) - 1, last)
+            while shared < most and before[shared] == word[shared]:
+                shared += 1
             del tokens[shared + 1 :], begins[shared + 1 :]
-            for stop in range(shared + 1, len(word)):
-                token, begin = self.next_state(word, stop, tokens, begins[-1])
-                tokens.append(token)
-                begins.append(begin)
-            found[word] = self.read_off(word, tokens, begins[-1])
-            before = word
-        return found
-
-    def encode_words(self, words: Iterable[str]) -> dict[str, list[str]]:
-        """Tokens of each distinct word (in byte symbols)."""
-        root: dict = {}
-        long = []
-        for word in words:
-            if len(word) > KEEP_CHARS:
-                long.append(word)
-                continue
-            node = root
-            for symbol in word[:-1]:
-                below = node.get(symbol)
-                if below is None:
-                    below = node[symbol] = {}
-                node = below
-            node[word[-1] + END] = word
-        found = self.encode_long(long)
-        prefix, tokens, begins = "", [""], [0]
-        walk = [iter(root.items())]
-        while walk:
-            for symbol, below in walk[-1]:
-                if below.__class__ is str:
-                    found[below] = self.read_off(below, tokens, begins[-1])
-                else:
-                    prefix += symbol
-                    token, begin = self.states.get(prefix) or self.state(prefix, tokens, begins[-1])
+            if last < KEEP_CHARS:
+                for stop in range(shared + 1, last + 1):
+                    prefix = word[:stop]
+                    token, begin = known(prefix) or self.state(prefix, tokens, begins[-1])
                     tokens.append(token)
                     begins.append(begin)
-                    walk.append(iter(below.items()))
-                    break
             else:
-                walk.pop()
-                prefix = prefix[:-1]
-                tokens.pop()
-                begins.pop()
+                for stop in range(shared + 1, last + 1):
+                    token, begin = self.next_state(word, stop, tokens, begins[-1])
+                    tokens.append(token)
+                    begins.append(begin)
+            found[word] = self.read_off(word, tokens, begins[-1])
+            before = word
         return found
 
 
@@ -201,6 +179,7 @@ class Codec:
             self.ids[token], self.said[token] = number.to_bytes(4, "little"), token
         self.packed = {token: number.to_bytes(4, "little") for token, number in self.trie.ids.items()}
         self.fixed = len(self.ids)
+        self.older: tuple[dict[str, bytes], dict[str, str]] = {}, {}
 
     def words(self, text: str) -> list[str]:
         if "<|" in text and (pieces := self.special.split(text))[1:]:
@@ -213,14 +192,18 @@ class Codec:
         return self.pattern.findall(text.lower())
 
     def learn(self, words: set[str]) -> None:
-        """Adds words that are not yet known."""
+        """Adds words that are not yet known. Of two generations of words the older goes when the younger is full; words met again move up."""
         new = {w for w in words if w not in self.ids}
         if not new:
             return
-        if len(self.ids) + len(new) > CACHE_WORDS and len(self.ids) > self.fixed:
-            for word in list(self.ids)[self.fixed :]:
-                del self.ids[word], self.said[word]
+        if len(self.ids) + len(new) > CACHE_WORDS // 2 and len(self.ids) > self.fixed:
+            self.older = self.ids, self.said
+            self.ids, self.said = ({w: known[w] for w in self.trie.special} for known in self.older)
             new = {w for w in words if w not in self.ids}
+        ids, said = self.older
+        for word in [w for w in new if w in ids]:
+            self.ids[word], self.said[word] = ids.pop(word), said.pop(word)
+            new.remove(word)
         spelt = {w: w if w.isascii() and w.isalnum() else w.encode("utf-8").decode("latin-1").translate(self.table) for w in new}
         tokens = self.trie.encode_words(set(spelt.values()))
         packed = self.packed
