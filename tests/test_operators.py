@@ -1,3 +1,4 @@
+import json
 from datetime import datetime
 
 import pytest
@@ -43,9 +44,26 @@ def test_orphans_with_resume_and_cap(spark):
     assert [r.ticker for r in K.orphans(trades, markets, done, 1).collect()] == ["c"]
 
 
-@pytest.mark.parametrize(("name", "group"), [("FEDDECISION", "Politics"), ("FEDCHAIRNOM", "Finance"), ("MUSKDOGE", "Crypto"), ("SKPRES", "Politics"), ("NFLGAME", "Sports"), ("zzz", "Other"), ("cpi", "Finance"), ("RTSNOWWHITE", "Weather")])
+ORDERED = [("EC", "Politics", "College", "All"), ("FED", "Finance", "Rates", "All"), ("DOGE", "Crypto", "Coins", "All"), ("CUOMO", "Politics", "Mayor", "Cuomo")]
+
+
+@pytest.mark.parametrize(("name", "group"), [("FEDDECISION", "Politics"), ("FEDCHAIRNOM", "Finance"), ("MUSKDOGE", "Crypto"), ("zzz", "Other"), ("fed", "Finance"), ("CUOM", "Other"), ("CUOMOX", "Politics")])
 def test_first_pattern_decides(spark, name, group):
-    assert spark.range(1).select(hierarchy(F.lit(name)).alias("h")).first().h["group"] == group
+    from tidemark.functions.taxonomy import Pattern
+
+    assert spark.range(1).select(hierarchy(F.lit(name), [Pattern(*p) for p in ORDERED]).alias("h")).first().h["group"] == group
+
+
+def test_taxonomy_file_of_the_session(spark, tmp_path):
+    from tidemark.functions.taxonomy import TAXONOMY, group_sql
+
+    (tmp_path / "table.json").write_text("".join(json.dumps(dict(zip(("position", "pattern", "group", "category", "subcategory"), (i, *p)))) + "\n" for i, p in enumerate(ORDERED)))
+    spark.conf.set(TAXONOMY, str(tmp_path / "table.json"))
+    try:
+        h = spark.range(1).select(hierarchy(F.lit("FEDDECISION")).alias("h")).first().h
+        assert (h["group"], h["category"], h["subcategory"]) == ORDERED[0][1:] and "CUOMO" in group_sql("c")
+    finally:
+        spark.conf.unset(TAXONOMY)
 
 
 def test_taxonomy_is_a_parameter(spark):

@@ -1,7 +1,7 @@
 """Categories to groups: the first pattern, in order, that a category contains.
 
-The default holds families. A finer table, with subcategories, is a parameter: rows of (pattern, group, category,
-subcategory) in order, for example from a file.
+The table is a parameter: rows of (position, pattern, group, category, subcategory), as a DataFrame or a JSON file that Spark can
+read, named by the setting TAXONOMY for all queries. The default is a short table of general terms.
 """
 
 from __future__ import annotations
@@ -10,82 +10,36 @@ import json
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# group/category: patterns, in order.
-FAMILIES = """
-Sports/NFL: NFL NFC AFC SB
-Sports/NBA: NBA
-Sports/MLB: MLB
-Sports/NCAA Football: NCAAF HEISMAN
-Sports/NCAA Basketball: NCAAMB MARMAD
-Sports/NHL: NHL
-Sports/WNBA: WNBA
-Sports/Tennis: ATP WTA WMENSINGLES WWOMENSINGLES USOMENSINGLES USOWOMENSINGLES FOMEN FOWOMEN DAVISCUPMATCH
-Sports/Golf: PGA MASTERS USOPEN THEOPEN GENESISINVITATIONAL LIVTOUR
-Sports/Soccer: EPL PREMIERLEAGUE UCL UEFACL LALIGAGAME SERIEAGAME BUNDESLIGAGAME LIGUE1GAME MLSGAME FIFAGAME CLUBWC EFLCHAMPIONSHIPGAME EFLCUPGAME UELGAME EUROLEAGUEGAME SUPERLIGGAME EREDIVISIEGAME LIGAPORTUGALGAME BRASILEIROGAME MENWORLDCUP BALLONDOR
-Sports/UFC/Boxing: UFC BOXING
-Sports/Racing: F1 NASCAR INDY500
-Sports/Other Sports: NATHANSHD NATHANDOGS NCAAWBGAME
-Esports/Multi-Game: MVESPORTSMULTIGAMEEXTENDED
-Esports/League of Legends: LOLGAMES LOLMAP LEAGUEWORLDS
-Esports/CS:GO: CSGOGAME
-Esports/Other Esports: INTERNETINVITATIONAL
-Politics/Presidential: PRES
-Politics/Popular Vote: POPVOTE
-Politics/Electoral College: EC CLOSESTSTATE SWINGSTATES24DJT TIPPINGPOINT LASTSTATECALL24 STATESHIFTRIGHT
-Politics/Senate: SENATE SENMAJORITY
-Politics/House: HOUSE CONTROLS CONTROLH
-Politics/Governor: GOVPARTYNJ GOVPARTYVA
-Politics/Government: GOVSHUT GOVREOPEN2025 GOVTCUTS
-Politics/Governor: GOV
-Politics/Trump Admin: TRUMP DJTJOINTSESSION DJTVOSTARIFFS
-Politics/Biden Admin: BIDEN
-Politics/Cabinet: CABINET CABOUT CABCOUNT SECAG SECDEF SECHHS SECTREASURY SECSTATE SECPRESSMENTION DNI FBI DOED
-Politics/NYC Mayor: MAYORNYC NYCMAYOR2ND NYCMAYORDROUND NYCMAYORDEBATEMENTION
-Politics/Other Elections: MAYOR VOTE ATTYGENVA
-Politics/Canada: CANADAPM CANCOALITION CANLIBSEATS PARTYWINNL
-Politics/Other Politics: POWER INAUG EOCOUNTDAY EOWEEK STATEDEEPDJT JAN6PARDONDAY1 DEMSWEEP DEBATES24 SPEAKER WISCOTUS WICOURTMOV CUOMO MAMDANIMENTION GABBARDCOUNT RFKCOUNT PATELCOUNT HEGSETHCOUNT RUBIO LEAVEADMIN LEADEROUT WLEADER GREENLAND TIKTOKBAN
-Crypto/Bitcoin: BTC
-Crypto/Ethereum: ETH
-Crypto/Other Crypto: DOGE SOL XRP SHIBA COIN
-Finance/Fed: FED RATECUT TERMINALRATE LEAVEPOWELL POWELLMENTION
-Finance/S&P 500: INX
-Finance/NASDAQ: NASDAQ
-Finance/Bonds: TNOTE DCEIL
-Finance/Forex: USDJPY EURUSD
-Finance/Commodities: GAS WTI EGGS
-Finance/Economic Indicators: CPI GDP PAYROLLS U3
-Finance/Other Finance: IPO EARNINGSMENTIONTSLA TESLA NEWPARTYMUSK
-Finance/Tariffs: TARIFF FTACOUNTRIES
-Finance/Other Finance: DEBTSH GAMBLINGREPEAL SHUTDOWNBY EXPAND DEPORTCOUNT WAYMOCITIES GOLDCARDS
-Weather/High Temp: HIGH HMONTH
-Weather/Precipitation: RAIN SNOW
-Weather/Severe Weather: TORNADO HURCAT
-Weather/Climate: ARCTICICE
-Weather/Other Weather: WEATHER
-Entertainment/Spotify: SPOTIFY
-Entertainment/Movies: RT
-Entertainment/Awards: OSCAR GRAMSOTY GRAMAOTY GRAMMY EMMY GAMEAWARDS BAFTA
-Entertainment/Netflix: NETFLIX
-Entertainment/Music: TOPSONG TOPALBUM ALBUUMSALESSWIFT SWIFTMENTION BILLBOARD MOSTSTREAMESTSTLOASG
-Entertainment/TV/Media: KIMMELMENTION SOUTHPARKMENTION MRBEASTMENTION SNFMENTION TNFMENTION SUPERBOWLHEADLINE
-Entertainment/Other Entertainment: TOPMODEL APPRANK TIME GTA6 ANIME MANTISFREETHROW
-Science/Tech/AI: LLM AI
-Science/Tech/Space: SPACEX ALIENS
-Science/Tech/Tech: APPLE CEOASTRONOMER LEAVELISACOOK
-World Events/Nobel Prize: NOBEL
-World Events/Religion: POPE
-World Events/Other Events: EPSTEIN ZELENSKYYPUTINMEET LAGODAYS ARREST
-Media/Mentions: MENTION
-Media/Search Trends: GOOGLESEARCH RANKLISTSONGTHRILLER
-Media/Headlines: HEADLINE
-Media/Mentions: VANCE
-Media/Other Media: UFSD TSAW CASEM CASED
-Media/Polls: 538APPROVE APRPOTUS
+TAXONOMY = "spark.tidemark.taxonomy"
+
+DEFAULT = """
+NFL, Sports, Football, Professional
+NBA, Sports, Basketball, Professional
+MLB, Sports, Baseball, Professional
+NHL, Sports, Hockey, Professional
+NCAA, Sports, College, All
+PGA, Sports, Golf, Tour
+UFC, Sports, Fighting, All
+SENATE, Politics, Congress, Senate
+HOUSE, Politics, Congress, House
+PRES, Politics, Executive, President
+GOV, Politics, States, Governors
+BTC, Crypto, Coins, Bitcoin
+ETH, Crypto, Coins, Ether
+FED, Finance, Rates, Central bank
+CPI, Finance, Indicators, Prices
+GDP, Finance, Indicators, Output
+INX, Finance, Indices, Large companies
+NASDAQ, Finance, Indices, Technology
+RAIN, Weather, Precipitation, Rain
+SNOW, Weather, Precipitation, Snow
+HIGH, Weather, Temperature, Daily high
+OSCAR, Entertainment, Awards, Film
+GRAMMY, Entertainment, Awards, Music
 """
-GROUPS = ("Sports", "Esports", "Politics", "Crypto", "Finance", "Weather", "Entertainment", "Science/Tech", "World Events", "Media")
 
 
 class Pattern(NamedTuple):
@@ -96,12 +50,12 @@ class Pattern(NamedTuple):
 
 
 def default_patterns() -> list[Pattern]:
-    out = []
-    for line in FAMILIES.strip().splitlines():
-        name, _, patterns = line.partition(": ")
-        group = next(g for g in GROUPS if name.startswith(g + "/"))
-        out += [Pattern(p, group, name[len(group) + 1 :], name[len(group) + 1 :]) for p in patterns.split()]
-    return out
+    """The table that the session names, else the short one."""
+    spark = SparkSession.getActiveSession()
+    path = spark.conf.get(TAXONOMY, None) if spark else None
+    if path:
+        return load_patterns(spark.read.json(path))
+    return [Pattern(*line.split(", ")) for line in DEFAULT.strip().splitlines()]
 
 
 def load_patterns(table: DataFrame) -> list[Pattern]:
