@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pytest
 
@@ -83,3 +84,65 @@ def test_stream_drops_repeats_and_replays(spark, tmp_path):
     I.start_stream(stream(), target, str(tmp_path / "c1")).awaitTermination()
     I.start_stream(stream(), target, str(tmp_path / "c2")).awaitTermination()  # everything again
     assert sorted(r.trade_id for r in spark.read.parquet(target).collect()) == ["a", "b"]
+
+
+def test_a_lock_left_by_a_crash_is_taken_over(spark, tmp_path):
+    (tmp_path / "run.lock").write_text(json.dumps({"owner": "gone:1", "since": 0}))
+    run = I.run_once(spark, str(tmp_path), _fetch(spark, [("a", "T", "1970-01-01T00:00:05Z")], []), 10)
+    assert run.counts["trades"]["written"] == 1 and not (tmp_path / "run.lock").exists()
+    (tmp_path / "run.lock").write_text(json.dumps({"owner": "busy:1", "since": time.time()}))
+    with pytest.raises(FileExistsError, match="busy:1"):
+        I.run_once(spark, str(tmp_path), _fetch(spark, [], []), 20)
+
+
+def test_state_in_another_file_system(spark, tmp_path):
+    """The root is reached through a Hadoop URI that only Spark's file systems resolve."""
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.state.link./root", tmp_path.as_uri())
+    root = "viewfs://state/root/r"
+    batch = [("a", "T", "2025-03-13T22:00:00Z")]
+    assert I.run_once(spark, root, _fetch(spark, batch, []), 1741910400).counts["trades"]["written"] == 1
+    again = I.run_once(spark, root, _fetch(spark, batch, []), 1741910500)
+    assert again.counts["trades"] == {"written": 0, "existing": 1} and again.checkpoint.total_trade_rows_written == 1
+
+
+def test_only_partitions_of_the_window_are_read(spark, tmp_path):
+    rows = spark.createDataFrame([("old", "T", "2025-01-01T00:00:00Z", "2025-01-01"), ("new", "T", "2025-03-14T00:00:00Z", "2025-03-14")], TRADE + ", dt string")
+    rows.write.partitionBy("dt").parquet(str(tmp_path / "trades"))
+    known = I.known_keys(spark, str(tmp_path / "trades"), "trades", I.Bounds(1741824000, 1741996800))
+    assert [r.trade_id for r in known.collect()] == ["new"]
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "dt#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(known.inputFiles()) <= 2
+
+
+def test_null_keys_in_the_sink_are_existing(spark):
+    rows = spark.createDataFrame([(None, "T", "1970-01-01T00:00:05Z"), ("b", "T", "1970-01-01T00:00:06Z")], TRADE)
+    known = spark.createDataFrame([(None,)], "trade_id string")
+    got = I.sort_batch(rows, known, ["trade_id"], I.Bounds(0, 100), I.S.epoch(I.F.col("created_time"))).collect()
+    assert {r.trade_id: r._reason for r in got} == {None: "existing", "b": "new"}
+
+
+def test_catching_up_commits_every_chunk(spark, tmp_path):
+    day = 86400
+    everything = [(f"t{d}", "T", f"1970-01-{d:02d}T12:00:00Z") for d in range(2, 6)]
+    seen = []
+
+    def fetch(kind, bounds):
+        seen.append((kind, bounds.max_inclusive))
+        if kind == "trades" and bounds.max_inclusive > 4 * day:
+            raise OSError("the source went away")
+        return spark.createDataFrame(everything if kind == "trades" else [], TRADE if kind == "trades" else MARKET)
+
+    with pytest.raises(OSError):
+        I.catch_up(spark, str(tmp_path), fetch, 6 * day, 2)
+    done = I.Checkpoint.load(f"{tmp_path}/checkpoint.json")
+    assert done.watermark_trade_ts == 3 * day - day // 2 + day and done.total_trade_rows_written == 3
+    runs = I.catch_up(spark, str(tmp_path), _fetch(spark, everything, []), 6 * day, 2)
+    assert sum(r.counts["trades"]["written"] for r in runs) == 1 and spark.read.parquet(f"{tmp_path}/trades").count() == 4
+
+
+def test_bounds_of_a_run(spark):
+    past = spark.createDataFrame([("a", "T", "1970-01-01T00:00:05Z"), ("b", "T", None)], TRADE)
+    assert I.first_watermark(past) == 5 and I.first_watermark(past, 3) == 3 and I.first_watermark(None) == 0
+    assert I.upper_bound(100) == 100 and I.upper_bound(100, 50) == 50 and I.upper_bound(100, 50, 10, 20) == 30

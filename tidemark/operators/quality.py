@@ -47,7 +47,10 @@ def trade_facts(trades: DataFrame, as_of: datetime) -> DataFrame:
 
 def market_facts(markets: DataFrame, close: str = "close_time") -> DataFrame:
     key = F.concat("ticker", F.lit("|"), F.coalesce(close, F.col("created_time").cast("string"), F.lit(""))) if close in markets.columns else F.concat("ticker", F.lit("|"), F.col("created_time").cast("string"))
-    return markets.agg(F.count("*").alias("markets"), F.count_distinct(key).alias("keys"), F.max("volume").alias("top"), F.percentile("volume", F.lit(0.99)).alias("p99"))
+    # By key and by volume first: the percentile then runs over distinct volumes with their counts.
+    counts = markets.groupBy(key.alias("key")).agg(F.count("*").alias("n")).agg(F.sum("n").alias("markets"), F.count("key").alias("keys"))
+    volumes = markets.groupBy("volume").agg(F.count("*").alias("n")).agg(F.max("volume").alias("top"), F.percentile("volume", F.lit(0.99), F.col("n")).alias("p99"))
+    return counts.select(F.coalesce("markets", F.lit(0)).alias("markets"), "keys").join(F.broadcast(volumes))  # one row each
 
 
 def longest_gap_h(trades: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from tidemark.operators import keys as K
 from tidemark.operators import moments as M
 from tidemark.operators.positions import positions
 from tidemark.plans.analyses import POSITIONS, _joined
+from tidemark.session import durable
 from tidemark.registry import query
 
 MIN_ROWS = 100
@@ -157,10 +158,15 @@ def st9_spearman(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _ranks(sums: DataFrame, c: str) -> DataFrame:
+    """Average ranks of distinct values with counts: ranges of values are ranked side by side and shifted by what lies before them."""
     from pyspark.sql import Window
 
-    before = Window.orderBy(c).rowsBetween(Window.unboundedPreceding, -1)  # over distinct values
-    return sums.select(c, (F.coalesce(F.sum("n").over(before), F.lit(0)) + (F.col("n") + 1) / 2.0).cast("double").alias(f"rank_{c}"))
+    dealt = durable(sums.select(c, "n").repartitionByRange(c).withColumn("_range", F.spark_partition_id()))
+    totals = dealt.groupBy("_range").agg(F.sum("n").alias("_n"))
+    offsets = totals.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))  # one row a range
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("_range").orderBy(c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = dealt.withColumn("_before", before).join(offsets, "_range")
+    return ranked.select(c, (F.col("_offset") + F.col("_before") + (F.col("n") + 1) / 2.0).cast("double").alias(f"rank_{c}"))
 
 
 @query(

@@ -190,9 +190,9 @@ SELECT platform, CAST(price AS INT) AS price, CAST(total AS BIGINT) AS total, CA
 )
 def a23_cumulative_win_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Win rate by platform and price up to the last day; a platform without trades on that day gives nothing."""
-    total = cumulative(_by_day(spark, sf_dir))
-    last = total.agg(F.max("day").alias("day"))
-    final = total.join(last, "day").select("platform", "price", "total", "wins")
+    sums = _by_day(spark, sf_dir).groupBy("platform", "price").agg(F.sum("total").alias("total"), F.sum("wins").alias("wins"), F.max("day").alias("day"))
+    own, last = F.max("day").over(Window.partitionBy("platform")), F.max("day").over(Window.partitionBy())  # over at most 99 rows a platform
+    final = sums.select("platform", "price", "total", "wins", (own == last).alias("up_to_date")).filter("up_to_date").drop("up_to_date")
     return final.select("*", F.round(F.lit(100.0) * F.col("wins") / F.col("total").cast("double"), 6).alias("win_rate"))
 
 

@@ -9,18 +9,20 @@ from __future__ import annotations
 
 import json
 import os
+import socket
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field, replace
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import semantics as S
-from tidemark.operators.keys import without_known
 from tidemark.operators.quality import assert_valid
+from tidemark.sources.files import Lock, move, read_text, remove, write_text
 from tidemark.sources.tables import append_partition, exists, scan
 
 LOOKBACK_S = 24 * 3600
@@ -41,21 +43,19 @@ class Checkpoint:
     @staticmethod
     def load(path: str, start: int = 0) -> Checkpoint:
         """The stored checkpoint; a missing one starts at ``start``, a broken one is set aside first."""
-        try:
-            with open(path, encoding="utf-8") as f:
-                stored = json.load(f)
-            return Checkpoint(**{k: v for k, v in stored.items() if k in Checkpoint.__dataclass_fields__})
-        except FileNotFoundError:
+        spark = SparkSession.builder.getOrCreate()
+        text = read_text(spark, path)
+        if text is None:
             return Checkpoint(start, start)
-        except (ValueError, TypeError):
-            os.replace(path, f"{path}.broken")
+        try:
+            return Checkpoint(**{k: v for k, v in json.loads(text).items() if k in Checkpoint.__dataclass_fields__})
+        except (ValueError, TypeError, AttributeError):
+            remove(spark, f"{path}.broken")
+            move(spark, path, f"{path}.broken")
             return Checkpoint(start, start)
 
     def save(self, path: str) -> None:
-        partial = f"{path}.{uuid.uuid4().hex}"
-        with open(partial, "w", encoding="utf-8") as f:
-            json.dump(asdict(self), f)
-        os.replace(partial, path)
+        write_text(SparkSession.builder.getOrCreate(), path, json.dumps(asdict(self)))
 
     def advanced(self, trade_ts: int | None, market_ts: int | None, trades: int, markets: int, run_id: str) -> Checkpoint:
         """Watermarks only ever grow."""
@@ -135,15 +135,25 @@ def sort_batch(rows: DataFrame, known: DataFrame | None, keys: list[str], bounds
     if known is None:
         timed = timed.withColumn("_known", F.lit(False))
     else:
-        fresh = without_known(timed, known, keys).withColumn("_known", F.lit(False))
-        stale = timed.join(known.select(*keys).distinct(), keys, "left_semi").withColumn("_known", F.lit(True))
-        timed = fresh.unionByName(stale)
+        stored = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct().withColumn("_known", F.lit(True))
+        same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
+        timed = timed.join(stored, same, "left").drop(*[f"_known_{k}" for k in keys]).withColumn("_known", F.coalesce("_known", F.lit(False)))
     inside = F.col("_ts").between(bounds.min_exclusive + 1, bounds.max_inclusive)
-    rank = F.row_number().over(Window.partitionBy(*keys, inside & ~F.col("_known")).orderBy("_ts"))
+    rank = F.row_number().over(Window.partitionBy(*keys, inside & ~F.col("_known")).orderBy("_ts", *[c for c in rows.columns if c not in keys]))
     reason = F.when(F.col("_ts") <= bounds.min_exclusive, "low").when(F.col("_ts") > bounds.max_inclusive, "high").when(F.col("_known"), "existing").when(rank > 1, "duplicate").otherwise("new")
     return timed.withColumn("_reason", reason).drop("_known")
 
 
+def known_keys(spark: SparkSession, target: str, kind: str, bounds: Bounds) -> DataFrame:
+    """The sink's keys of rows in the window. Trades are written on the day they happen or later, so older partitions are not read."""
+    rows = scan(spark, target)
+    if kind == "trades":
+        day = datetime.fromtimestamp(bounds.min_exclusive, timezone.utc).strftime("%Y-%m-%d")
+        rows = rows.filter(F.col("dt").cast("date") >= F.lit(day).cast("date"))
+        return rows.filter(S.epoch(F.col("created_time")).between(bounds.min_exclusive + 1, bounds.max_inclusive)).select("trade_id")
+    return rows.filter(effective_ts().between(bounds.min_exclusive + 1, bounds.max_inclusive)).select("ticker", S.market_key().alias("_key"))
+
+
 def run_once(
     spark: SparkSession,
     root: str,
@@ -153,16 +163,15 @@ def run_once(
     dry_run: bool = False,
     lookback: int = LOOKBACK_S,
     run_id: str | None = None,
+    lock_s: float = 6 * 3600,
 ) -> Run:
     """One run: plan, fetch, sort out, validate, write, then move the watermarks.
 
     ``fetch(kind, bounds)`` gives rows of trades or markets. It is not called for an empty window. Two runs may not share a root
-    at a time: the lock file is created exclusively.
+    at a time: the lock file is created exclusively, and one that a crash has left is taken over after ``lock_s`` seconds.
     """
-    os.makedirs(root, exist_ok=True)
-    path, lock = f"{root}/checkpoint.json", f"{root}/run.lock"
-    handle = os.open(lock, os.O_CREAT | os.O_EXCL)
-    try:
+    path = f"{root}/checkpoint.json"
+    with Lock(spark, f"{root}/run.lock", f"{socket.gethostname()}:{os.getpid()}", lock_s):
         before = Checkpoint.load(path, start)
         now = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
         run = Run(run_id or uuid.uuid4().hex[:12], plan(before, upper, lookback), checkpoint=before, dry_run=dry_run)
@@ -174,13 +183,10 @@ def run_once(
                 continue
             rows = fetch(kind, bounds)
             target = f"{root}/{kind}"
-            known = scan(spark, target) if exists(spark, target) else None
             if kind == "markets":
                 rows = rows.withColumn("_key", S.market_key())
-                known = None if known is None else known.withColumn("_key", S.market_key())
-                ts = effective_ts()
-            else:
-                ts = S.epoch(F.col("created_time"))
+            ts = effective_ts() if kind == "markets" else S.epoch(F.col("created_time"))
+            known = known_keys(spark, target, kind, bounds) if exists(spark, target) else None
             sorted_out = sort_batch(rows, known, keys, bounds, ts).persist()
             try:
                 for r in sorted_out.groupBy("_reason").agg(F.count("*").alias("n")).collect():
@@ -199,12 +205,29 @@ def run_once(
         if not dry_run:
             run.checkpoint = before.advanced(newest["trades"], newest["markets"], run.counts["trades"]["written"], run.counts["markets"]["written"], run.run_id)
             run.checkpoint.save(path)
-            with open(f"{root}/manifest-{run.run_id}.json", "w", encoding="utf-8") as f:
-                json.dump(run.manifest(), f)
+            write_text(spark, f"{root}/manifest-{run.run_id}.json", json.dumps(run.manifest()))
         return run
-    finally:
-        os.close(handle)
-        os.unlink(lock)
+
+
+def catch_up(spark: SparkSession, root: str, fetch: Callable[[str, Bounds], DataFrame], upper: int, days: int, start: int = 0, **options: object) -> list[Run]:
+    """A long stretch in runs of at most so many days, each of which writes its rows and moves the watermarks before the next."""
+    stored = Checkpoint.load(f"{root}/checkpoint.json", start)
+    whole = plan(stored, upper)["trades"]
+    return [run_once(spark, root, fetch, part.max_inclusive, start, **options) for part in chunks(whole, days) if part.max_inclusive > stored.watermark_trade_ts]
+
+
+def first_watermark(historical: DataFrame | None, explicit: int | None = None) -> int:
+    """Where a new root starts: the explicit time, else the newest trade of the past, else 0."""
+    if explicit is not None:
+        return explicit
+    newest = None if historical is None else historical.agg(F.max(S.epoch(F.col("created_time")))).first()[0]
+    return int(newest or 0)
+
+
+def upper_bound(now: int, cutoff: int | None = None, cap_s: int | None = None, watermark: int = 0) -> int:
+    """Now or the cutoff, whichever comes first, and at most ``cap_s`` seconds past the watermark."""
+    bound = now if cutoff is None else min(now, cutoff)
+    return bound if cap_s is None else min(bound, watermark + cap_s)
 
 
 def dedupe_stream(rows: DataFrame, key: str = "trade_id", time: str = "created_time", delay: str = "24 hours") -> DataFrame:
