@@ -32,14 +32,18 @@ def _keyed(rows: DataFrame, kind: str) -> DataFrame:
     return rows.select(key.alias("key"))
 
 
-def table_stats(rows: DataFrame, kind: str, historical: DataFrame | None = None) -> Stats:
-    """Keys are counted first, so that the distinct count is a count of groups."""
+def stats_row(rows: DataFrame, kind: str, historical: DataFrame | None = None) -> DataFrame:
+    """(rows, keys, overlap). Keys are counted first, so that the distinct count is a count of groups."""
     counted = _keyed(rows, kind).groupBy("key").agg(F.count("*").alias("n"))
-    if historical is not None:
-        past = _keyed(historical, kind).distinct().withColumn("past", F.lit(1))
-        counted = counted.join(past, "key", "left")
-    found = counted.agg(F.sum("n").alias("rows"), F.count("*").alias("keys"), (F.sum("past") if historical is not None else F.lit(0)).alias("overlap")).first()
-    return Stats(found["rows"] or 0, found["keys"] or 0, found["overlap"] or 0)
+    if historical is None:
+        counted = counted.withColumn("past", F.lit(0))
+    else:
+        counted = counted.join(_keyed(historical, kind).distinct().withColumn("past", F.lit(1)), "key", "left")
+    return counted.agg(*[F.coalesce(c, F.lit(0)).alias(name) for name, c in (("rows", F.sum("n")), ("keys", F.count("*")), ("overlap", F.sum("past")))])
+
+
+def table_stats(rows: DataFrame, kind: str, historical: DataFrame | None = None) -> Stats:
+    return Stats(**stats_row(rows, kind, historical).first().asDict())
 
 
 def audit_markets(markets: DataFrame, historical: DataFrame) -> DataFrame:

@@ -1,3 +1,3 @@
 """All modules that register queries."""
 
-from tidemark.plans import analyses, datasets, inference, platform2, relational  # noqa: F401
+from tidemark.plans import analyses, datasets, inference, platform2, relational, upkeep  # noqa: F401

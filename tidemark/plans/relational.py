@@ -242,7 +242,7 @@ def jsn_event_props(spark, sf_dir):
     return rows.groupBy("event_type").agg(F.sum("k").alias("total"), F.count("*").alias("n"))
 
 
-@query("src2_provenance_counts")
+@query("src2_provenance_counts", "SELECT 'orders.parquet' AS file, count(*) AS n FROM orders")
 def src2_provenance_counts(spark, sf_dir):
     """Rows by file name, with a merged schema."""
     from tidemark.sources.tables import scan
