@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.texts import map_batches, to_batch
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 400_000
 KEEP_CHARS = 64
 CHUNK_CHARS = 2_000_000
 VOCABULARY = "word_bpe_49k.json"
@@ -75,12 +75,16 @@ class TrieEncoder:
 
     def merge(self, symbols: list[str]) -> list[str]:
         """The merges applied one by one, lowest rank first and the leftmost of equals: defines what stands."""
-        parts = list(symbols)
-        while len(parts) > 1:
-            rank, i = min((self.ranks.get((parts[i], parts[i + 1]), len(self.ranks)), i) for i in range(len(parts) - 1))
-            if rank == len(self.ranks):
-                break
+        parts, known, none = list(symbols), self.ranks.get, len(self.ranks)
+        ranks = [known(pair, none) for pair in zip(parts, parts[1:])]
+        while ranks and (rank := min(ranks)) < none:
+            i = ranks.index(rank)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = known((parts[i], parts[i + 1]), none)
+            if i:
+                ranks[i - 1] = known((parts[i - 1], parts[i]), none)
         return parts
 
     def is_token(self, token: str) -> bool:
