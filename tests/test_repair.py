@@ -1,7 +1,10 @@
+from datetime import datetime
+
 import pytest
 
 from tidemark.operators import quality as Q
 from tidemark.operators import repair as R
+from tidemark.plans import upkeep
 from tidemark.sources import files as FS
 
 TRADE = "trade_id string, ticker string, created_time string, _run_id string, _ingested_at string"
@@ -65,3 +68,14 @@ def test_percentile_over_counts(spark):
     markets = spark.createDataFrame([(str(i), None, "c", i % 50) for i in range(200)] + [("0", None, "c", None)], "ticker string, close_time string, created_time string, volume long")
     got = Q.market_facts(markets).first()
     assert (got["markets"], got["keys"], got["top"]) == (201, 200, 49) and got["p99"] == pytest.approx(49.0)
+
+
+LINEITEM = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_linestatus string, l_shipdate timestamp"
+
+
+@pytest.mark.parametrize("reverse", [False, True])
+def test_repaired_trades_with_equal_times_do_not_depend_on_order(spark, tmp_path, reverse):
+    day, next_day = datetime(2000, 1, 2), datetime(2000, 1, 3)
+    rows = [(1, 24, 1, 3, 12.0, "F", day), (1, 48, 1, 3, 45.0, "F", day), (2, 24, 1, 1, 7.0, "O", day), (2, 24, 1, 1, 5.0, "O", next_day), (2, 24, 1, 2, 3.0, "O", day)]
+    spark.createDataFrame(rows[::-1] if reverse else rows, LINEITEM).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert sorted(map(tuple, upkeep.rp1_repaired_trades(spark, str(tmp_path)).collect())) == [("MKT-1", 1, 12), ("MKT-2", 2, 8)]

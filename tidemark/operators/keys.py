@@ -14,9 +14,9 @@ def keep_first(rows: DataFrame, keys: list[Column | str], order: list[Column]) -
     return rows.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def latest_trades(trades: DataFrame, *ties: str) -> DataFrame:
-    """The latest row of each trade_id; unparseable times come last, and ``ties`` (such as the file) decide among equals, highest first."""
-    return keep_first(trades, ["trade_id"], [F.col("created_time").try_cast("timestamp").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in ties]])
+def latest_trades(trades: DataFrame, *ties: Column | str) -> DataFrame:
+    """The latest row of each trade_id; unparseable times come last, and ``ties`` (such as the file) decide among equals: names highest first, columns as they say."""
+    return keep_first(trades, ["trade_id"], [F.col("created_time").try_cast("timestamp").desc_nulls_last(), *[F.col(c).desc_nulls_last() if isinstance(c, str) else c for c in ties]])
 
 
 def canonical_markets(markets: DataFrame, *ties: str) -> DataFrame:

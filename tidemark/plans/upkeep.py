@@ -40,8 +40,8 @@ def _markets_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("rp1_repaired_trades", _TWICE + " SELECT ticker, count(*) AS n, CAST(sum(count) AS BIGINT) AS contracts FROM (SELECT *, row_number() OVER (PARTITION BY trade_id ORDER BY created_time DESC) AS r FROM tt) WHERE r = 1 GROUP BY 1")
 def rp1_repaired_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest of every trade, by market."""
-    return K.latest_trades(_trades_twice(spark, sf_dir)).groupBy("ticker").agg(F.count("*").alias("n"), F.sum("count").alias("contracts"))
+    """The latest of every trade, by market; of rows with the same time, which the SQL leaves open, the one with the least count."""
+    return K.latest_trades(_trades_twice(spark, sf_dir), F.col("count").asc()).groupBy("ticker").agg(F.count("*").alias("n"), F.sum("count").alias("contracts"))
 
 
 @query("rp2_repaired_markets", _TWICE + " SELECT ticker, CAST(volume AS BIGINT) AS volume FROM (SELECT *, row_number() OVER (PARTITION BY ticker, close_time ORDER BY created_time DESC) AS r FROM m2) WHERE r = 1 AND (ticker, close_time) NOT IN (SELECT ticker, close_time FROM past)")
