@@ -454,3 +454,46 @@ def test_pipeline_runs_and_keeps_clean_documents(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         empty = stage(spark, given.limit(0), SF)
         assert empty.columns == given.columns and empty.count() == 0
+
+
+def test_one_line_against_many_is_as_one_by_one():
+    rng = random.Random(3)
+    letters = "abcdeé 𝒳"
+    for size in (0, 1, 7, 8, 63, 64, 65, 200, 300):
+        base = "".join(rng.choice(letters) for _ in range(size))
+        others = ["", base, base[::-1], base + "x" * (size // 4), base[size // 5 :], "y" * (size // 6) + base[: size - size // 6]]
+        for _ in range(20):
+            line = list(base)
+            for at in rng.sample(range(size), int(size * rng.random() * 0.3)):
+                line[at] = rng.choice(["", "z", line[at] + "z"])
+            others.append("".join(line))
+        assert line_dedup.similar_among(base, others).tolist() == [line_dedup.similar(base, x) for x in others]
+
+
+def test_many_lines_with_one_passage_are_grouped_as_one_by_one(monkeypatch):
+    rng = random.Random(4)
+    words = lambda n: " ".join("".join(rng.choice("aeinrst") for _ in range(rng.randint(2, 8))) for _ in range(n))
+    passage = words(25)
+    texts = [f"{words(5)} {passage} {words(5)}" for _ in range(40)]
+    texts += [t.replace("ae", "xy").replace("rst", "q") for t in texts[:20]]
+    rows = [{"text": t, "bits": 1, "place": 65535} for t in texts]
+    links, first = line_dedup.compare_lines(rows, [0] * len(rows), True)
+    expected = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if line_dedup.similar(texts[i], texts[j]):
+                a, b = expected[i], expected[j]
+                expected = [min(a, b) if x in (a, b) else x for x in expected]
+    assert first.tolist() == expected and len(set(expected)) < len(texts)
+    calls = []
+    monkeypatch.setattr(line_dedup, "similar", lambda a, b: calls.append(a))
+    line_dedup.compare_lines(rows[:40], [0] * 40, True)
+    assert len(calls) <= 80  # of 780 pairs
+
+
+def test_tiles_are_not_joined_by_their_bytes(spark):
+    rows = [(i, f"{i}-{j}".encode(), 1, 0, "t") for i in range(64) for j in range(2)]
+    members = spark.createDataFrame(rows, "cluster long, node binary, blocks int, block int, text string")
+    both = lambda rows, blocks, same: (np.ones(len(rows), np.int64), np.zeros(len(rows), np.int64))
+    parts = clusters.compare_tiles(members, both, ["text"]).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts == int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -83,7 +83,9 @@ def compare_tiles(members: DataFrame, compare: Compare, columns: list[str], meet
 
 
 def _compared(placed: DataFrame, compare: Compare) -> DataFrame:
-    dealt = placed.repartition(F.col("tile")).sortWithinPartitions("tile", "same", "node")
+    # a number of partitions, as without one Spark joins partitions by their bytes, and a tile's work grows with the square of its rows
+    n = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = placed.repartition(n, F.col("tile")).sortWithinPartitions("tile", "same", "node")
     types = {"node": pa.binary(), "links": pa.int64(), "root": pa.binary()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -292,6 +292,67 @@ def similar(a: str, b: str) -> bool:
     return abs(len(a) - len(b)) <= allowed and edit_distance(a, b, allowed) <= allowed
 
 
+#: Texts that are compared with one at once, for the first, second and further times (fewer than the first: one by one), and their characters in all.
+_AT_ONCE = (4, 32, 128)
+_CHARS_AT_ONCE = 1 << 17
+_LOOK_EVERY = 64
+#: Rows of a tile whose 3-grams are only looked at where easy edits do not connect all.
+_FEW = 16
+
+
+def similar_among(text: str, others: list[str]) -> np.ndarray:
+    """``similar(text, other)`` for each of the others, with the bit vectors of all of them in one number.
+
+    Each has the bits of whole bytes with one at least to spare, which takes what is carried or moved out and is cleared.
+    """
+    sizes = np.array([len(x) for x in others])
+    allowed = (1 - SIMILARITY) * np.maximum(sizes, len(text)) + 1e-9
+    found = np.zeros(len(others), bool)
+    number = np.flatnonzero(np.abs(sizes - len(text)) <= allowed)
+    if not len(number):
+        return found
+    sizes, allowed = sizes[number], allowed[number]
+    widths = sizes // 8 + 1
+    begin = np.cumsum(widths) - widths
+    points = np.full(widths.sum() * 8, 0xFFFFFFFF, np.uint32)
+    at = np.arange(sizes.sum()) + np.repeat(begin * 8 - (np.cumsum(sizes) - sizes), sizes)
+    points[at] = np.frombuffer("".join([others[i] for i in number]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts = np.zeros(len(points), bool)
+    starts[begin * 8] = True
+
+    def packed(bits: np.ndarray) -> int:
+        return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+    def bits_of(x: int) -> np.ndarray:
+        return np.frombuffer(x.to_bytes(widths.sum(), "little"), np.uint8)
+
+    where = {c: packed(points == ord(c)) for c in set(text)}
+    full, first = packed(points != 0xFFFFFFFF), packed(starts)
+    up, down = full, 0
+    for j, c in enumerate(text):
+        if j % _LOOK_EVERY == _LOOK_EVERY - 1:
+            rows = sizes - len(text) + j  # on the diagonal that the end lies on
+            steps = np.concatenate(([0], np.cumsum(np.unpackbits(bits_of(up), bitorder="little").astype(np.int32) - np.unpackbits(bits_of(down), bitorder="little"))))
+            here = np.maximum(rows, 0)
+            alive = (rows <= 0) | (j + steps[begin * 8 + here] - steps[begin * 8] <= allowed)
+            if not alive.any():
+                return found
+            if alive.sum() * 4 <= len(alive) * 3:
+                own = np.repeat(alive, widths)
+                up, down, full, first, *rest = [int.from_bytes(bits_of(x)[own].tobytes(), "little") for x in (up, down, full, first, *where.values())]
+                where = dict(zip(where, rest))
+                sizes, allowed, number, widths = sizes[alive], allowed[alive], number[alive], widths[alive]
+                begin = np.cumsum(widths) - widths
+        match = where[c]
+        diagonal = ((((match & up) + up) ^ up) | match | down) & full
+        right_up = (down | (full ^ (diagonal | up))) << 1 | first
+        up = ((diagonal & up) << 1 | ((diagonal | right_up) ^ full)) & full
+        down = right_up & diagonal
+    ends = [np.add.reduceat(np.bitwise_count(bits_of(x)).astype(np.int64), begin) for x in (up, down)]
+    found[number] = len(text) + ends[0] - ends[1] <= allowed
+    return found
+
+
 def easy_edits(p: list[str], q: list[str], limit: float) -> float:
     """Edits of an alignment of two lists of words that is easy to find, as a bound; infinite beyond the limit.
 
@@ -322,23 +383,51 @@ _STEPS = [(x, n - x) for n in range(1, LOOK_AHEAD + 1) for x in sorted(range(n +
 _BINS = 4096
 
 
+def near_lengths(texts: list[str]) -> np.ndarray:
+    """Which pairs may be similar: an edit changes the length by one at most."""
+    sizes = np.array([len(x) for x in texts])
+    return np.triu(np.abs(sizes[:, None] - sizes[None, :]) <= (1 - SIMILARITY) * np.maximum(sizes[:, None], sizes[None, :]) + 1e-9, 1)
+
+
 def perhaps_similar(texts: list[str]) -> np.ndarray:
-    """Which pairs may be similar: an edit changes the length by one at most, and takes and gives three 3-grams at most."""
+    """Which pairs may be similar: of near lengths, and an edit takes and gives three 3-grams at most."""
+    near = near_lengths(texts)
     sizes = np.array([len(x) for x in texts])
     allowed = (1 - SIMILARITY) * np.maximum(sizes[:, None], sizes[None, :]) + 1e-9
-    near = np.triu(np.abs(sizes[:, None] - sizes[None, :]) <= allowed, 1)
+    if not near.any():
+        return near
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
     grams = (points[:-2] * np.uint32(961) + points[1:-1] * np.uint32(31) + points[2:]) * np.uint32(0x9E3779B1) >> np.uint32(20)
     ends = np.cumsum(sizes)
-    counts = np.zeros((len(texts), _BINS), np.int32)
-    for own, start, end in zip(counts, (ends - sizes).tolist(), ends.tolist()):
-        if end - start > 2:
-            own += np.bincount(grams[start : end - 2], minlength=_BINS).astype(np.int32)
-    for i in range(len(texts) - 1):
-        others = np.flatnonzero(near[i])
-        if len(others):
-            near[i, others] = np.abs(counts[others] - counts[i]).sum(axis=1) <= 6 * allowed[i, others]
-    return near
+    runs = np.maximum(sizes - 2, 0)
+    own = np.repeat(np.arange(len(texts)), runs)
+    keys = np.sort(own * _BINS + grams[np.arange(runs.sum()) + np.repeat(ends - sizes - (np.cumsum(runs) - runs), runs)])
+    shared = _common(keys // _BINS, _numbered(keys), len(texts))
+    return near & (runs[:, None] + runs[None, :] - 2 * shared <= 6 * allowed)
+
+
+def _numbered(keys: np.ndarray) -> np.ndarray:
+    """For sorted numbers of rows and bins, the bin with how often the row has had it before."""
+    new = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys % _BINS + _BINS * (np.arange(len(keys)) - np.repeat(new, np.diff(new, append=len(keys))))
+
+
+def _common(row: np.ndarray, feature: np.ndarray, n: int) -> np.ndarray:
+    """How many features, of which a row has each once, every two of n rows share; by matrix products over those that two rows have at least."""
+    order = np.argsort(feature, kind="stable")
+    row, feature = row[order], feature[order]
+    new = np.flatnonzero(np.diff(feature, prepend=-1))
+    counts = np.diff(new, append=len(feature))
+    column = np.repeat(np.cumsum(counts > 1) - 1, counts)
+    several = np.repeat(counts > 1, counts)
+    row, column = row[several], column[several]
+    both = np.zeros((n, n), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        lo, hi = np.searchsorted(column, (at, at + 4096))
+        has = np.zeros((n, min(4096, int(column[-1]) + 1 - at)), np.float32)
+        has[row[lo:hi], column[lo:hi] - at] = 1.0
+        both += has @ has.T
+    return both
 
 
 def in_reach(rows: list[dict], texts: list[str]) -> np.ndarray:
@@ -355,7 +444,8 @@ def in_reach(rows: list[dict], texts: list[str]) -> np.ndarray:
 def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Links only as far as they connect something: a pair that is already connected needs no comparison."""
     texts = [row["text"] for row in rows]
-    near = perhaps_similar(texts) & in_reach(rows, texts)
+    few = len(rows) <= _FEW
+    near = (near_lengths(texts) if few else perhaps_similar(texts)) & in_reach(rows, texts)
     if not same:
         block = np.array(blocks)
         near &= block[:, None] != block[None, :]
@@ -378,7 +468,22 @@ def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.n
 
     words = [text.split(" ") for text in texts]
     connect(lambda i, j: easy_edits(words[i], words[j], (1 - SIMILARITY) * max(len(texts[i]), len(texts[j]))) < float("inf"))
-    connect(lambda i, j: similar(texts[i], texts[j]))
+    if few and any(find(i) != find(j) for i, j in zip(*(x.tolist() for x in np.nonzero(near)))):
+        near &= perhaps_similar(texts)
+    for i in range(len(rows)):
+        others, times = np.flatnonzero(near[i]), 0
+        while len(others := np.array([j for j in others.tolist() if find(i) != find(j)], np.int64)):
+            some = others[: max(1, min(_AT_ONCE[min(times, len(_AT_ONCE) - 1)], _CHARS_AT_ONCE // max(1, len(texts[i]))))].tolist()
+            others, times = others[len(some) :], times + 1
+            if len(some) < _AT_ONCE[0]:
+                linked = [j for j in some if find(i) != find(j) and similar(texts[i], texts[j])]
+            else:
+                linked = [j for j, yes in zip(some, similar_among(texts[i], [texts[j] for j in some])) if yes]
+            for j in linked:
+                p, q = find(i), find(j)
+                parent[max(p, q)] = min(p, q)
+                links[i] += 1
+                links[j] += 1
     return links, np.array([find(x) for x in range(len(rows))])
 
 
