@@ -497,3 +497,13 @@ def test_tiles_are_not_joined_by_their_bytes(spark):
     both = lambda rows, blocks, same: (np.ones(len(rows), np.int64), np.zeros(len(rows), np.int64))
     parts = clusters.compare_tiles(members, both, ["text"]).select(F.spark_partition_id().alias("p")).distinct().count()
     assert parts == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_texts_that_no_cluster_needs_stay_out_of_the_shuffle(spark):
+    rows = spark.range(20_000).selectExpr("if(id = 7, null, id) AS doc_id", "id * 3 AS th", "'t' AS text")
+    members = spark.range(0, 20_000, 7).selectExpr("named_struct('doc_id', if(id = 7, null, id), 'th', id * 3) AS one")
+    kept = ngram_join.perhaps_wanted(rows, ["doc_id", "th"], members, ["one.doc_id", "one.th"])
+    assert kept.columns == rows.columns
+    found = {tuple(r) for r in kept.select("doc_id", "th").collect()}
+    assert {(r.one.doc_id, r.one.th) for r in members.collect()} <= found and len(found) < 20_000 / 7 * 1.7
+    assert ngram_join.perhaps_wanted(rows, ["doc_id", "th"], members.filter("one.th < 0"), ["one.doc_id", "one.th"]).count() == 0

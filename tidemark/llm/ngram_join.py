@@ -137,6 +137,22 @@ def compare_texts(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.n
     return linked.sum(axis=1), first_connected(linked)
 
 
+#: Bits for each wanted row in the bitmap that keeps other texts out of a shuffle, and bits in all at most (8 MB, which are broadcast).
+_BITS_EACH, _BITS = 8, 1 << 26
+_BUCKET = 1 << 15  # bits of one of Spark's bitmaps
+
+
+def perhaps_wanted(rows: DataFrame, key: list[str], wanted: DataFrame, wanted_key: list[str]) -> DataFrame:
+    """``rows`` without most of those whose key no wanted row has, by a bitmap of hashes of keys; no wanted row goes, and a join has to follow."""
+    buckets = max(1, min(wanted.count() * _BITS_EACH, _BITS) // _BUCKET)
+    at = lambda columns: F.pmod(F.xxhash64(*columns), F.lit(buckets * _BUCKET))
+    bit = F.pmod(at(wanted_key), F.lit(_BUCKET))
+    bitmaps = wanted.groupBy(F.shiftright(at(wanted_key), 15).alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_bitmap"))
+    joined = rows.withColumn("_at", at(key)).withColumn("_bucket", F.shiftright("_at", 15)).join(F.broadcast(bitmaps), "_bucket")
+    byte = F.conv(F.hex(F.substring("_bitmap", (F.shiftright(F.pmod("_at", F.lit(_BUCKET)), 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return joined.filter(byte.bitwiseAND(F.expr("shiftleft(1, CAST(_at % 8 AS INT))")) != 0).select(*rows.columns)
+
+
 def join_documents(documents: DataFrame) -> DataFrame:
     """(doc_id, th, class_id, copy_id, n_copies, n_links, root): th is the hash of the text, root the group (null without words)."""
     with Scratch(documents.sparkSession) as scratch:
@@ -154,7 +170,7 @@ def _joined(scratch: Scratch, documents: DataFrame) -> DataFrame:
     met = classes.select("node", F.posexplode("bands").alias("band", "hash")).select("node", F.min("node").over(bucket).alias("least"))
     clusters = connected_components(met.select(F.col("node").alias("a"), F.col("least").alias("b"))).withColumnRenamed("root", "cluster")
     members = scratch.keep(with_blocks(clusters.join(classes.select("node", "one", "size"), "node")))
-    texts = given.withColumnsRenamed({"doc_id": "_id", "th": "_th"})
+    texts = perhaps_wanted(given, ["doc_id", "th"], members, ["one.doc_id", "one.th"]).withColumnsRenamed({"doc_id": "_id", "th": "_th"})
     held = members.join(texts, F.col("one.doc_id").eqNullSafe(F.col("_id")) & (F.col("one.th") == F.col("_th")))
     held = scratch.keep(held.groupBy("cluster", "node", "blocks", "block").agg(F.first("text").alias("text")))
     compared = scratch.keep(compare_tiles(held, compare_texts, ["text"]))
