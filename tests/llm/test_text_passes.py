@@ -1,5 +1,6 @@
 """Operators that map over texts, against brute force."""
 
+import random
 import re
 import time
 
@@ -224,3 +225,14 @@ def test_languages_of_odd_rows(spark):
 def test_temperature_prefers_the_likelier():
     logits = np.array([[4.0, 0.0]] * 10)
     assert language_id.fit_temperature(logits, np.array([0] * 6 + [1] * 4)) > 2
+
+
+def test_the_pattern_of_the_first_characters_gives_the_same_words(monkeypatch):
+    codec = bpe_codec.Codec(bpe_codec.vocabulary_path())
+    rng = random.Random(11)
+    texts = ["", "".join(map(chr, range(256))), "It's we'll ''s 'x don't I'M '", "½ ²³ 12 a1é2 ÀÉ\xa0ß\x85µ\x1cª", "O'Ve 'RE'd\n\t'"]
+    texts += ["".join(chr(rng.randrange(256)) if rng.random() < 0.3 else rng.choice("aeéstvdlm' 1'.\n") for _ in range(60)) for _ in range(500)]
+    general = [codec.pattern.findall(t.lower()) for t in texts]
+    assert [codec.narrow.findall(t.lower()) for t in texts] == general
+    monkeypatch.setattr(codec, "pattern", None)
+    assert [codec.plain_words(t) for t in texts] == general
