@@ -507,3 +507,47 @@ def test_texts_that_no_cluster_needs_stay_out_of_the_shuffle(spark):
     found = {tuple(r) for r in kept.select("doc_id", "th").collect()}
     assert {(r.one.doc_id, r.one.th) for r in members.collect()} <= found and len(found) < 20_000 / 7 * 1.7
     assert ngram_join.perhaps_wanted(rows, ["doc_id", "th"], members.filter("one.th < 0"), ["one.doc_id", "one.th"]).count() == 0
+
+
+def test_lines_that_meet_are_found_without_a_row_for_a_block(spark, monkeypatch):
+    rng = random.Random(6)
+    pool = [words(rng, rng.randint(5, 20)) for _ in range(60)]
+    lines = [" ".join(w if rng.random() < 0.95 else "changed" for w in rng.choice(pool)) for _ in range(400)]
+    docs = docs_of(spark, [(i, "\n".join(lines[i : i + 4])) for i in range(0, 400, 4)]).select("doc_id", "text", F.lit(1).cast("long").alias("th"))
+    hashed = line_dedup.map_batches(docs.repartition(3), line_dedup._lines, line_dedup.LINE_SCHEMA)
+    rows = hashed.select(F.xxhash64("key").alias("id"), "blocks").collect()
+    owners = {}
+    for r in rows:
+        for block in np.frombuffer(bytes(r.blocks), np.int64).tolist():
+            owners.setdefault(block >> 16, {})[r.id] = block & 0xFFFF
+    expected = {}
+    for bits, own in owners.items():
+        if len(own) > 1:
+            for i, place in own.items():
+                key = (min(own), max(own), i)
+                expected[key] = min(expected.get(key, (1 << 63, 0)), (bits, place))
+    found = line_dedup.meetings(hashed)
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(line_dedup, "_DEALT_AT_ONCE", 500)
+    for got in (found, line_dedup.meetings(hashed)):
+        got = {(r.cluster, r.id): (r.bits, r.place) for r in got.collect()}
+        ends = spark.createDataFrame([(*k, *v) for k, v in expected.items()], "least long, greatest long, id long, bits long, place int")
+        assert len(expected) > 100 and got == {(r.cluster, r.id): (r.bits, r.place) for r in ends.select(F.xxhash64("least", "greatest").alias("cluster"), "id", "bits", "place").collect()}
+    assert line_dedup.meetings(hashed.limit(0)).count() == 0
+
+
+def test_two_lines_of_a_tile_are_compared_as_among_many():
+    rng = random.Random(12)
+    apart = {"text": "zz", "bits": 9, "place": 65535}
+    found = []
+    for _ in range(200):
+        base = words(rng, rng.randint(4, 30))
+        copy = [w if rng.random() < 0.85 else words(rng, 1)[0] for w in base][rng.randint(0, 1) :]
+        bits, places = rng.randint(1, 2), [rng.choice([0, 3, 40, 65535]) for _ in range(2)]
+        rows = [{"text": " ".join(x), "bits": b, "place": p} for x, b, p in zip((base, copy), (1, bits), places)]
+        same, blocks = rng.random() < 0.5, [0, rng.randint(0, 1)]
+        links, first = line_dedup.compare_lines(rows, blocks, same)
+        of_three = line_dedup.compare_lines([*rows, apart], [*blocks, 0], same)
+        assert links.tolist() == of_three[0].tolist()[:2] and first.tolist() == of_three[1].tolist()[:2]
+        found.append(bool(links[0]))
+    assert 20 < sum(found) < 180

@@ -145,7 +145,8 @@ def connect_members(scratch: Scratch, members: DataFrame, compare: Compare, colu
     left = rest.join(n_inside, "cluster").select("cluster", "node", *columns, F.lit(0).alias("block"), F.col("block").alias("r"), F.explode(F.sequence(F.lit(0), F.col("l_blocks") - 1)).alias("l"))
     right = inside.join(n_rest, "cluster").select("cluster", "node", *columns, F.lit(1).alias("block"), F.explode(F.sequence(F.lit(0), F.col("r_blocks") - 1)).alias("r"), F.col("block").alias("l"))
     placed = left.unionByName(right).select(F.xxhash64("cluster", "r", "l").alias("tile"), F.lit(False).alias("same"), "node", "block", *columns)
-    return found.unionByName(among).unionByName(_edges(_compared(placed, compare)))
+    known = _edges(groups)  # what the links so far connect, in one step each
+    return known.unionByName(among).unionByName(_edges(_compared(placed, compare)))
 
 
 def with_blocks_again(members: DataFrame) -> DataFrame:

@@ -32,10 +32,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.clusters import connect_members, connected_components, with_blocks
+from tidemark.llm.ngram_join import perhaps_wanted
 from tidemark.llm.texts import map_batches, to_batch
 from tidemark.session import Scratch, durable
 
@@ -63,8 +64,8 @@ def _letters() -> np.ndarray:
 
 
 _IN_WORD = _letters()
-#: Characters of texts that are hashed at once; a longer text is hashed alone.
-_TOGETHER = 1 << 18
+#: Characters of texts that are hashed at once, so few that their arrays' memory is used again and again; a longer text is hashed alone.
+_TOGETHER = 1 << 16
 _BASE = 0x9E3779B97F4A7C15
 _SEEDS = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
 
@@ -168,20 +169,26 @@ class LineHasher:
         grams[begin[short]] = _mix((sums[end[short]] - sums[begin[short]]) * self.up[end[short]], _SEEDS[0])
         grams = (grams >> np.uint64(32)).astype(np.uint32)
         runs = np.maximum(1, end - begin - GRAM + 1)
-        spans = [np.stack([begin + runs * i // SAMPLE, begin + np.maximum(runs * i // SAMPLE + 1, runs * (i + 1) // SAMPLE)], axis=1).ravel() for i in range(SAMPLE)]
         rows = np.empty((len(_ORDERS), len(begin)), np.uint32)
-        product, places = np.empty_like(grams), np.arange(len(grams), dtype=np.uint64)
-        at = np.empty((BLOCKS, len(begin)), np.int64)
-        for i, order in enumerate(_ORDERS):
-            np.multiply(grams, order, out=product)
-            if i % SAMPLE:
-                rows[i] = np.minimum.reduceat(product, spans[i % SAMPLE])[::2]
-            else:  # with its place
-                least = np.minimum.reduceat(product.astype(np.uint64) << np.uint64(32) | places, spans[0])[::2]
-                rows[i] = least >> np.uint64(32)
-                at[i // SAMPLE] = (least & np.uint64(0xFFFFFFFF)).astype(np.int64) - begin
+        at = np.empty((BLOCKS, len(begin)), np.uint64)
+        for part in range(SAMPLE):  # the part's grams of all lines side by side, so that every order passes over them only
+            offset = runs * part // SAMPLE
+            sizes = np.maximum(1, runs * (part + 1) // SAMPLE - offset)
+            first = np.cumsum(sizes) - sizes
+            place = np.arange(sizes.sum()) + np.repeat(begin + offset - first, sizes)
+            own = grams[place]
+            if part:
+                product = np.empty_like(own)
+                for i in range(part, len(_ORDERS), SAMPLE):
+                    rows[i] = np.minimum.reduceat(np.multiply(own, _ORDERS[i], out=product), first)
+            else:  # with the place in the line: the hash times an order, modulo 2 to the 32nd, in the upper half
+                own, place = own.astype(np.uint64) << np.uint64(32), (place - np.repeat(begin, sizes)).astype(np.uint64)
+                product = np.empty_like(own)
+                for i in range(0, len(_ORDERS), SAMPLE):
+                    least = np.minimum.reduceat(np.bitwise_or(np.multiply(own, np.uint64(_ORDERS[i]), out=product), place, out=product), first)
+                    rows[i], at[i // SAMPLE] = least >> np.uint64(32), least & np.uint64(0xFFFFFFFF)
         rows = rows.reshape(BLOCKS, SAMPLE, len(begin)).astype(np.uint64)
-        return end - begin, (simhash_blocks(rows) & ~_NO_PLACE | np.minimum(at.astype(np.uint64), _NO_PLACE)).T
+        return end - begin, (simhash_blocks(rows) & ~_NO_PLACE | np.minimum(at, _NO_PLACE)).T
 
 
 def simhash_blocks(rows: np.ndarray) -> np.ndarray:
@@ -219,8 +226,10 @@ def _chosen_parts(placed: np.ndarray, first: np.ndarray, counts: np.ndarray) ->
     return (_mix(chosen + counts[:, None].astype(np.uint64), _SEEDS[1]) | _NO_PLACE).ravel()
 
 
-LINE_TYPES = {"doc_id": pa.int64(), "th": pa.int64(), "line": pa.int32(), "key": pa.binary(), "size": pa.int32(), "blocks": pa.list_(pa.int64())}
-LINE_SCHEMA = "doc_id long, th long, line int, key binary, size int, blocks array<long>"
+LINE_TYPES = {"doc_id": pa.int64(), "th": pa.int64(), "line": pa.int32(), "key": pa.binary(), "size": pa.int32(), "blocks": pa.binary()}
+LINE_SCHEMA = "doc_id long, th long, line int, key binary, size int, blocks binary"
+#: Lines of a batch at most, so that the bytes of their blocks have offsets of 32 bits.
+_LINES_AT_ONCE = 1 << 20
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,25 +241,38 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not text:
                 continue
             if size + len(text) > _TOGETHER and texts:
-                yield _line_batch(batch, np.array(rows), *hasher.lines(texts))
+                yield from _line_batches(batch, np.array(rows), *hasher.lines(texts))
                 texts, rows, size = [], [], 0
             texts.append(text)
             rows.append(row)
             size += len(text)
         if texts:
-            yield _line_batch(batch, np.array(rows), *hasher.lines(texts))
+            yield from _line_batches(batch, np.array(rows), *hasher.lines(texts))
 
 
-def _line_batch(batch: pa.RecordBatch, rows: np.ndarray, row: np.ndarray, numbers: np.ndarray, keys: np.ndarray, sizes: np.ndarray, n_blocks: np.ndarray, blocks: np.ndarray) -> pa.RecordBatch:
-    offsets = pa.py_buffer(np.arange(0, 16 * len(row) + 1, 16, dtype=np.int32))
-    key = pa.Array.from_buffers(pa.binary(), len(row), [None, offsets, pa.py_buffer(np.ascontiguousarray(keys))])
-    at = pa.array(rows[row])
+def _line_batches(batch: pa.RecordBatch, rows: np.ndarray, row: np.ndarray, numbers: np.ndarray, keys: np.ndarray, sizes: np.ndarray, n_blocks: np.ndarray, blocks: np.ndarray) -> Iterator[pa.RecordBatch]:
     once = np.zeros(len(row), bool)
     once[np.unique(keys[:, 0], return_index=True)[1]] = True  # equal lines give their blocks once
     blocks, n_blocks = blocks[np.repeat(once, n_blocks)], np.where(once, n_blocks, 0)
-    lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(n_blocks))).astype(np.int32), blocks)
-    columns = [batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(numbers.astype(np.int32)), key, pa.array(sizes.astype(np.int32)), lists]
-    return pa.RecordBatch.from_arrays(columns, names=list(LINE_TYPES))
+    ends = np.cumsum(n_blocks)
+    for lo in range(0, len(row), _LINES_AT_ONCE):
+        hi = min(len(row), lo + _LINES_AT_ONCE)
+        first = ends[lo] - n_blocks[lo]
+        at = pa.array(rows[row[lo:hi]])
+        key = _binary(16 * np.arange(hi - lo + 1), keys[lo:hi])
+        own = _binary(8 * np.concatenate(([0], ends[lo:hi] - first)), blocks[first : ends[hi - 1]])
+        columns = [batch.column("doc_id").take(at), batch.column("th").take(at), pa.array(numbers[lo:hi].astype(np.int32)), key, pa.array(sizes[lo:hi].astype(np.int32)), own]
+        yield pa.RecordBatch.from_arrays(columns, names=list(LINE_TYPES))
+
+
+def _binary(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _longs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The longs of all binary values one after the other, and how many each has."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].view(np.int64), np.diff(offsets) // 8
 
 
 def edit_distance(a: str, b: str, limit: float = float("inf")) -> float:
@@ -441,8 +463,23 @@ def in_reach(rows: list[dict], texts: list[str]) -> np.ndarray:
     return unknown | (shift <= (1 - SIMILARITY) * np.maximum(sizes[:, None], sizes[None, :]) + 1e-9)
 
 
+def _two_similar(one: dict, other: dict) -> bool:
+    """``similar`` for the only two rows of a tile, by the tests that go before it for many, without matrices."""
+    a, b = one["text"], other["text"]
+    allowed = (1 - SIMILARITY) * max(len(a), len(b)) + 1e-9
+    p, q = one["place"], other["place"]
+    if one["bits"] == other["bits"] and int(_NO_PLACE) not in (p, q) and abs(p - q) + abs(len(a) - p - (len(b) - q)) > allowed:
+        return False
+    if abs(len(a) - len(b)) > allowed:
+        return False
+    return easy_edits(a.split(" "), b.split(" "), allowed) < float("inf") or bool(perhaps_similar([a, b])[0, 1]) and edit_distance(a, b, allowed) <= allowed
+
+
 def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Links only as far as they connect something: a pair that is already connected needs no comparison."""
+    if len(rows) == 2:
+        linked = (same or blocks[0] != blocks[1]) and _two_similar(*rows)
+        return np.full(2, int(linked)), np.array([0, 0 if linked else 1])
     texts = [row["text"] for row in rows]
     few = len(rows) <= _FEW
     near = (near_lengths(texts) if few else perhaps_similar(texts)) & in_reach(rows, texts)
@@ -487,15 +524,92 @@ def compare_lines(rows: list[dict], blocks: list[int], same: bool) -> tuple[np.n
     return links, np.array([find(x) for x in range(len(rows))])
 
 
+#: Blocks that are dealt out at once, and that a part of them has on average; parts are numbers of 16 bits.
+_DEALT_AT_ONCE = 1 << 21
+_PART = 1 << 19
+_PARTS = 1 << 16
+
+
+def _deal(parts: int):
+    """(id, blocks) as few rows of many (id, block) for each part of the blocks, so that a shuffle moves no row for a block."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, blocks, size = [], [], 0
+
+        def dealt() -> pa.RecordBatch:
+            block, own = np.concatenate(blocks), np.concatenate(ids)
+            part = ((block >> 16).view(np.uint64) * np.uint64(_BASE) >> np.uint64(40)) % np.uint64(parts)
+            order = np.argsort(part.astype(np.uint16), kind="stable")
+            ends = np.cumsum(np.bincount(part.astype(np.int64), minlength=parts))
+            some = np.flatnonzero(np.diff(ends, prepend=0))
+            offsets = 8 * np.concatenate(([0], ends[some]))
+            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), _binary(offsets, own[order]), _binary(offsets, block[order])], names=["part", "ids", "blocks"])
+
+        for batch in batches:
+            block, counts = _longs(batch.column("blocks"))
+            ids.append(np.repeat(batch.column("id").to_numpy(zero_copy_only=False), counts))
+            blocks.append(block.copy())
+            size += len(block)
+            if size >= _DEALT_AT_ONCE:
+                yield dealt()
+                ids, blocks, size = [], [], 0
+        if size:
+            yield dealt()
+
+    return work
+
+
+def _once(ids: np.ndarray, bits: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those whose bits others have too, each once, in the order of their bits."""
+    order = np.argsort(bits)
+    same = np.diff(bits[order]) == 0
+    order = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+    order = order[np.lexsort((ids[order], bits[order]))]
+    ids, bits, place = ids[order], bits[order], place[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (np.diff(ids) != 0) | (np.diff(bits) != 0)
+    return ids[new], bits[new], place[new]
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For every part the ids whose blocks agree in their bits, with the least and the greatest id of these."""
+    part, ids, blocks = None, [], []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        block = np.concatenate(blocks)
+        own, bits, place = _once(np.concatenate(ids), block >> 16, block & int(_NO_PLACE))
+        if not len(own):
+            return
+        first = np.flatnonzero(np.diff(bits, prepend=~bits[0]))
+        sizes = np.diff(first, append=len(bits))
+        least, greatest = np.repeat(own[first], sizes), np.repeat(own[first + sizes - 1], sizes)
+        meet = least < greatest
+        columns = [pa.array(x[meet]) for x in (least, greatest, own, bits, place.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, names=["least", "greatest", "id", "bits", "place"])
+
+    for batch in batches:
+        for row, at in enumerate(batch.column("part").to_pylist()):
+            if at != part and ids:
+                yield from close()
+                ids, blocks = [], []
+            part = at
+            ids.append(_longs(batch.column("ids").slice(row, 1))[0].copy())
+            blocks.append(_longs(batch.column("blocks").slice(row, 1))[0].copy())
+    if ids:
+        yield from close()
+
+
 def meetings(lines: DataFrame) -> DataFrame:
     """(cluster, id, bits, place) of the lines that share a block with others; sets of lines with the same least and greatest id are one cluster.
 
-    ``bits`` and ``place`` are those of the first block that made the line a member.
+    ``bits`` and ``place`` are those of the first block that made the line a member. Blocks are dealt by their bits to parts of which
+    a task holds one at a time, 16 bytes for a block, and sorted there.
     """
-    own = lines.select(F.xxhash64("key").alias("id"), F.explode("blocks").alias("block"))
-    own = own.select("id", F.shiftright("block", 16).alias("bits"), F.col("block").bitwiseAND(int(_NO_PLACE)).cast("int").alias("place"))
-    bucket = Window.partitionBy("bits")
-    met = own.select("*", F.min("id").over(bucket).alias("least"), F.max("id").over(bucket).alias("greatest")).filter("least < greatest")
+    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = min(_PARTS, max(4 * n, lines.count() * (BLOCKS + 1) // _PART))
+    dealt = map_batches(lines.select(F.xxhash64("key").alias("id"), "blocks"), _deal(parts), "part int, ids binary, blocks binary")
+    dealt = dealt.repartition(n, "part").sortWithinPartitions("part")
+    met = map_batches(dealt, _met, "least long, greatest long, id long, bits long, place int")
     met = met.groupBy(F.xxhash64("least", "greatest").alias("cluster"), "id").agg(F.min(F.struct("bits", "place")).alias("at"))
     return met.select("cluster", "id", "at.bits", "at.place")
 
@@ -522,7 +636,8 @@ def removed_lines(scratch: Scratch, documents: DataFrame) -> DataFrame:
     members = scratch.keep(with_blocks(members))
     candidates = members.select("node", "one").dropDuplicates(["node"])
     wanted = candidates.groupBy(F.col("one.doc_id").alias("_id"), F.col("one.th").alias("_th")).agg(F.collect_list(F.struct(F.col("one.line").alias("line"), "node")).alias("wanted"))
-    held = given.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "wanted")
+    wanted = scratch.keep(wanted)
+    held = perhaps_wanted(given, ["doc_id", "th"], wanted, ["_id", "_th"]).join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("text", "wanted")
     texts = map_batches(held, _candidate_texts, "node binary, text string").groupBy("node").agg(F.first("text").alias("text"))
     edges = connect_members(scratch, scratch.keep(members.drop("one").join(texts, "node")), compare_lines, ["text", "bits", "place"])
     groups = connected_components(edges).withColumnRenamed("node", "key")
@@ -549,7 +664,7 @@ def _cleaned(documents: DataFrame) -> tuple[DataFrame, str, str]:
     gone = gone.select(F.col("doc_id").alias(f"{mark}_id"), F.col("th").alias(f"{mark}_th"), F.col("removed").alias(mark))
     joined = documents.join(gone.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(f"{mark}_id")) & (F.xxhash64("text") == F.col(f"{mark}_th")), "left").drop(f"{mark}_id", f"{mark}_th")
     text = F.when(F.col(mark).isNull(), F.col("text")).otherwise(remove_lines(F.col("text"), F.col(mark)))
-    n_lines = F.when(F.col("text").isNull() | (F.col("text") == ""), 0).otherwise(F.length("text") - F.length(F.translate("text", "\n", "")) + 1)
+    n_lines = F.when(F.col("text").isNull() | (F.col("text") == ""), 0).otherwise(F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1)
     return joined.withColumns({"text": text, f"{mark}_n": n_lines.cast("long")}), mark, f"{mark}_n"
 
 
